@@ -1,0 +1 @@
+"""Reserved. Every operator of this package is a batch DataFrame transformation."""

@@ -74,23 +74,23 @@ def popularity_spans(silver: DataFrame, window_days: int = LONG_WINDOW_DAYS) ->
     ).filter(F.col("item_transactions_30d") > 0)
 
 
-def _days_of(spans: DataFrame, days: DataFrame, *columns: str) -> DataFrame:
-    """One row per span and day, for the days that occur in the data."""
+def _each_day(spans: DataFrame, *columns: str) -> DataFrame:
+    """One row per span and day. A span is never longer than the window."""
     return spans.select(
-        *columns,
-        F.explode(F.sequence("from_day", F.col("to_day") - 1)).alias("snapshot_day"),
-    ).join(days, "snapshot_day", "left_semi")
+        *columns, F.explode(F.sequence("from_day", F.col("to_day") - 1)).alias("snapshot_day")
+    )
 
 
 def item_popularity(silver: DataFrame, window_days: int = LONG_WINDOW_DAYS) -> DataFrame:
-    """Popularity per item and day, without the rows where it is zero."""
-    spans = popularity_spans(silver, window_days)
-    rows = _days_of(spans, silver_days(silver), "itemid", "item_transactions_30d")
-    return rows.select(*ITEM_KEY, "item_transactions_30d")
+    """Popularity per item and day of the data, without the rows where it is zero."""
+    rows = _each_day(popularity_spans(silver, window_days), "itemid", "item_transactions_30d")
+    return rows.join(silver_days(silver), "snapshot_day", "left_semi").select(
+        *ITEM_KEY, "item_transactions_30d"
+    )
 
 
 def popularity_histogram(silver: DataFrame, window_days: int = LONG_WINDOW_DAYS) -> DataFrame:
-    """Number of items per day and popularity above zero."""
+    """Number of items per calendar day and popularity above zero."""
     changes = F.array(
         F.struct(F.col("from_day").alias("day"), F.lit(1).cast("long").alias("change")),
         F.struct(F.col("to_day").alias("day"), F.lit(-1).cast("long").alias("change")),
@@ -108,54 +108,68 @@ def popularity_histogram(silver: DataFrame, window_days: int = LONG_WINDOW_DAYS)
         F.lead("day").over(in_time).alias("to_day"),
         F.sum("change").over(in_time.rowsBetween(Window.unboundedPreceding, 0)).alias("items"),
     ).filter(F.col("items") > 0)
-    return _days_of(runs, silver_days(silver), "item_transactions_30d", "items")
+    return _each_day(runs, "item_transactions_30d", "items")
 
 
-def top_seller_threshold(
-    silver: DataFrame,
-    quantile: float = TOP_SELLER_QUANTILE,
-    method: Method = "disc",
-    window_days: int = LONG_WINDOW_DAYS,
+def _thresholds_above_zero(
+    silver: DataFrame, quantile: float, method: Method, window_days: int = LONG_WINDOW_DAYS
 ) -> DataFrame:
-    """Popularity quantile over all items, one row per day.
+    """Popularity quantile over all items, for calendar days on which any item is
+    popular. On every other day it is zero.
 
-    ``disc`` gives an observed value, ``linear`` interpolates between two. The
-    ordered step holds one row per distinct popularity of a day, and k distinct
-    values need at least k(k+1)/2 sales within the window.
+    The ordered step holds one row per distinct popularity of a day, and k
+    distinct values need at least k(k+1)/2 sales within the window.
     """
     if method not in ("disc", "linear"):
         raise ValueError(f"unknown method {method!r}")
-    items = silver.select("itemid").distinct().agg(F.count(F.lit(1))).scalar()
+    n_items = silver.select("itemid").distinct().agg(F.count(F.lit(1))).scalar()
     of_day = Window.partitionBy("snapshot_day")
     up_to = of_day.orderBy("item_transactions_30d").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = popularity_histogram(silver, window_days).select(
-        "snapshot_day",
-        F.col("item_transactions_30d").alias("value"),
-        (items - F.sum("items").over(of_day)).alias("zeros"),
-        (items - F.sum("items").over(of_day) + F.sum("items").over(up_to)).alias("up_to"),
+    ranked = (
+        popularity_histogram(silver, window_days)
+        .select(
+            "snapshot_day",
+            F.col("item_transactions_30d").alias("value"),
+            F.sum("items").over(of_day).alias("popular"),
+            F.sum("items").over(up_to).alias("up_to"),
+        )
+        .withColumn("all", n_items)
+        .withColumn("zeros", F.col("all") - F.col("popular"))
     )
 
     def at_rank(rank: Column) -> Column:
-        above_zero = F.min(F.when(F.col("up_to") >= rank, F.col("value")))
-        return F.when(F.max("zeros") >= rank, F.lit(0)).otherwise(above_zero).cast("double")
+        above_zero = F.min(F.when(F.col("zeros") + F.col("up_to") >= rank, F.col("value")))
+        reached_by_zeros = F.bool_and(F.col("zeros") >= rank)
+        return F.when(reached_by_zeros, F.lit(0)).otherwise(above_zero).cast("double")
 
     if method == "disc":
-        threshold = at_rank(F.greatest(F.ceil(F.lit(quantile) * items), F.lit(1)))
+        threshold = at_rank(F.greatest(F.ceil(F.lit(quantile) * F.col("all")), F.lit(1)))
     else:
-        position = F.lit(quantile) * (items - 1)
+        position = F.lit(quantile) * (F.col("all") - 1)
         low, high = at_rank(F.floor(position) + 1), at_rank(F.ceil(position) + 1)
-        threshold = low + (high - low) * (position - F.floor(position))
-    above = ranked.groupBy("snapshot_day").agg(threshold.alias("top_10_threshold"))
+        threshold = low + (high - low) * F.max(position - F.floor(position))
+    return ranked.groupBy("snapshot_day").agg(threshold.alias("top_10_threshold"))
+
+
+def top_seller_threshold(
+    silver: DataFrame, quantile: float = TOP_SELLER_QUANTILE, method: Method = "disc"
+) -> DataFrame:
+    """Popularity quantile over all items, one row per day of the data.
+
+    ``disc`` gives an observed value, ``linear`` interpolates between two.
+    """
+    above = _thresholds_above_zero(silver, quantile, method)
     return silver_days(silver).join(above, "snapshot_day", "left").fillna(0.0, ["top_10_threshold"])
 
 
 def _with_flag(popularity: DataFrame, thresholds: DataFrame) -> DataFrame:
     # One threshold row per calendar day: its size depends on the time span of
     # the data only, never on the number of events, visitors or items.
-    top = F.col("item_transactions_30d") >= F.col("top_10_threshold")
-    return popularity.join(F.broadcast(thresholds), "snapshot_day", "left").withColumn(
-        "is_top_seller", top.cast("int")
+    joined = popularity.join(F.broadcast(thresholds), "snapshot_day", "left").fillna(
+        0.0, ["top_10_threshold"]
     )
+    top = F.col("item_transactions_30d") >= F.col("top_10_threshold")
+    return joined.withColumn("is_top_seller", top.cast("int"))
 
 
 def top_sellers(
@@ -164,7 +178,7 @@ def top_sellers(
     """Popularity, threshold and flag per item and day, without the items of zero
     popularity. Those are top sellers exactly on days whose threshold is zero."""
     return _with_flag(
-        item_popularity(silver), top_seller_threshold(silver, quantile, method)
+        item_popularity(silver), _thresholds_above_zero(silver, quantile, method)
     ).select(*ITEM_KEY, "item_transactions_30d", "top_10_threshold", "is_top_seller")
 
 
@@ -188,7 +202,7 @@ def cart_day_popularity(
     popularity = daily.select(
         *ITEM_KEY, "carted", F.coalesce(rolled, F.lit(0)).alias("item_transactions_30d")
     ).filter(F.col("carted") > 0)
-    return _with_flag(popularity, top_seller_threshold(silver, quantile, method)).select(
+    return _with_flag(popularity, _thresholds_above_zero(silver, quantile, method)).select(
         *ITEM_KEY, "item_transactions_30d", "is_top_seller"
     )
 

@@ -95,15 +95,13 @@ def training_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepared_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.temporal_boundaries(
-        split.interaction_filter(training_of(spark, sf_dir)), feature_days=FEATURE_DAYS
-    )
+    """Active rows inside the bounds, stored because several steps read them."""
+    active = storage.materialise(split.interaction_filter(training_of(spark, sf_dir)))
+    return split.temporal_boundaries(active, feature_days=FEATURE_DAYS)
 
 
 def split_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared rows with their split, stored once because several steps read them."""
-    prepared = storage.materialise(prepared_of(spark, sf_dir))
-    return split.chronological_split(prepared)
+    return split.chronological_split(prepared_of(spark, sf_dir))
 
 
 def folds_of(spark: SparkSession, sf_dir: str) -> DataFrame:

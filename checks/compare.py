@@ -97,7 +97,8 @@ def main() -> None:
             else:
                 state = f"rows {run(spark, options.sf).count()}"
         except Exception as error:  # noqa: BLE001
-            state = f"FAILED: {type(error).__name__} {str(error)[:600]}"
+            causes = [x for x in str(error).splitlines() if x.startswith("Caused by")]
+            state = f"FAILED: {type(error).__name__} {str(error)[:300]} {causes}"
         bad += state.startswith(("DIFFERS", "FAILED"))
         print(f"{name:40s} {time.time() - start:6.1f}s {state}", flush=True)
     print("unmatched SQL:", sorted(set(sql) - set(catalog.QUERIES)))

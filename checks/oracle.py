@@ -344,7 +344,6 @@ def _calibrated(p: str) -> str:
 
 
 _FIXED_P = _calibrated(_sigmoid(_LINEAR))
-_MICROS = ["first_time", "last_time"]
 
 
 def _describe(name: str, source: str, column: str, probs: list[tuple[str, float]]) -> str:
@@ -422,13 +421,11 @@ FROM (SELECT model, p, sum(y) AS pos, sum(1 - y) AS neg
 
 
 def _body() -> dict[str, str]:
-    edges = [(0, None)]
     durations = [(1, "0-1"), (2, "1-2"), (5, "2-5"), (10, "5-10"), (20, "10-20"), (30, "20-30"),
                  (60, "30-60"), (120, "60-120")]
     duration_bin = "CASE " + " ".join(
         f"WHEN exact_min <= {edge} THEN '{label}'" for edge, label in durations
     ) + " ELSE '>120' END"
-    del edges
     q: dict[str, str] = {}
 
     q["i01_read_raw_events"] = f"SELECT {_RAW} FROM m"
@@ -443,7 +440,7 @@ SELECT {_RAW} FROM m WHERE CAST(event_time AS DATE)
     q["i06_write_gold"] = f"SELECT {_GOLD} FROM gold"
     q["i07_write_silver"] = f"SELECT {_BRONZE}, _dq_error FROM dq"
     q["i08_convert_events"] = """
-SELECT epoch_ms(event_time) * 1000 AS timestamp, visitorid, event, itemid, transactionid,
+SELECT epoch_us(event_time) // 1000 * 1000 AS timestamp, visitorid, event, itemid, transactionid,
   strftime(event_time, '%Y-%m') AS year_month FROM m"""
     q["i09_convert_item_properties"] = "SELECT * FROM props"
     q["i10_convert_category_tree"] = "SELECT * FROM tree"

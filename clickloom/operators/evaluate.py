@@ -188,10 +188,9 @@ def calibration_points(
     """
     inner = [i / n_bins for i in range(1, n_bins)]
     edges = exact_quantiles(scored.select(F.col(score).alias("_p")), ["_p"], inner)
-    one = edges.select(F.array(*[quantile_label(q) for q in inner])).scalar()
-    binned = F.aggregate(
-        one, F.lit(0), lambda n, edge: n + (edge < F.col(score)).cast("int")
-    )
+    one = edges.select(F.struct(*[quantile_label(q) for q in inner])).scalar()
+    below = [(one[quantile_label(q)] < F.col(score)).cast("int") for q in inner]
+    binned = reduce(lambda a, b: a + b, below, F.lit(0))
     return (
         scored.withColumn("bin", binned)
         .groupBy("bin")

@@ -22,7 +22,7 @@ from ..schemas import (
     TOP_SELLER_QUANTILE,
     TRANSACTION,
 )
-from .snapshots import KEY, days_before
+from .snapshots import KEY, days_before, silver_totals
 
 ITEM_KEY = ["itemid", "snapshot_day"]
 Method = Literal["disc", "linear"]
@@ -90,25 +90,15 @@ def item_popularity(silver: DataFrame, window_days: int = LONG_WINDOW_DAYS) -> D
 
 
 def popularity_histogram(silver: DataFrame, window_days: int = LONG_WINDOW_DAYS) -> DataFrame:
-    """Number of items per calendar day and popularity above zero."""
-    changes = F.array(
-        F.struct(F.col("from_day").alias("day"), F.lit(1).cast("long").alias("change")),
-        F.struct(F.col("to_day").alias("day"), F.lit(-1).cast("long").alias("change")),
-    )
-    steps = (
-        popularity_spans(silver, window_days)
-        .select("item_transactions_30d", F.inline(changes))
-        .groupBy("item_transactions_30d", "day")
-        .agg(F.sum("change").alias("change"))
+    """Number of items per calendar day and popularity above zero.
+
+    The days of a span are counted before the shuffle, so what travels is one
+    row per day and distinct popularity, not one per item and day.
+    """
+    days = _each_day(popularity_spans(silver, window_days), "item_transactions_30d")
+    return days.groupBy("snapshot_day", "item_transactions_30d").agg(
+        F.count(F.lit(1)).alias("items")
     )
-    in_time = Window.partitionBy("item_transactions_30d").orderBy("day")
-    runs = steps.select(
-        "item_transactions_30d",
-        F.col("day").alias("from_day"),
-        F.lead("day").over(in_time).alias("to_day"),
-        F.sum("change").over(in_time.rowsBetween(Window.unboundedPreceding, 0)).alias("items"),
-    ).filter(F.col("items") > 0)
-    return _each_day(runs, "item_transactions_30d", "items")
 
 
 def _thresholds_above_zero(
@@ -122,7 +112,6 @@ def _thresholds_above_zero(
     """
     if method not in ("disc", "linear"):
         raise ValueError(f"unknown method {method!r}")
-    n_items = silver.select("itemid").distinct().agg(F.count(F.lit(1))).scalar()
     of_day = Window.partitionBy("snapshot_day")
     up_to = of_day.orderBy("item_transactions_30d").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
@@ -133,7 +122,7 @@ def _thresholds_above_zero(
             F.sum("items").over(of_day).alias("popular"),
             F.sum("items").over(up_to).alias("up_to"),
         )
-        .withColumn("all", n_items)
+        .withColumn("all", silver_totals(silver)["items"])
         .withColumn("zeros", F.col("all") - F.col("popular"))
     )
 

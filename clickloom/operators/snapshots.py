@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -21,11 +21,19 @@ def require_rows(silver: DataFrame) -> None:
         raise ValueError("silver is empty: no snapshots can be built")
 
 
+def silver_totals(silver: DataFrame) -> Column:
+    """Number of items and last day of silver, as one scalar subquery."""
+    per_item = silver.groupBy("itemid").agg(F.max("snapshot_day").alias("day"))
+    return per_item.agg(
+        F.struct(F.count(F.lit(1)).alias("items"), F.max("day").alias("last_day"))
+    ).scalar()
+
+
 def build_snapshot_dates(silver: DataFrame) -> DataFrame:
     """Every visitor-day with an event, and for every visitor the day after the
     last day of the whole data."""
     require_rows(silver)
-    inference_day = (silver.agg(F.max("snapshot_day")).scalar() + 1).cast("int")
+    inference_day = (silver_totals(silver)["last_day"] + 1).cast("int")
     days = silver.select(*KEY).distinct()
     # Later than every event day, so the two parts cannot overlap.
     ahead = silver.select("visitorid").distinct().withColumn("snapshot_day", inference_day)

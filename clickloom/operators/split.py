@@ -29,7 +29,8 @@ def interaction_filter(df: DataFrame, minimum: int = MIN_INTERACTIONS) -> DataFr
 def temporal_boundaries(df: DataFrame, feature_days: int = 30, target_days: int = 6) -> DataFrame:
     """Drop the first days, which lack history, and the last, which lack outcome.
 
-    The bounds follow the rows given, so filter interactions first.
+    The bounds follow the rows given, so filter interactions first. The frame is
+    read twice, so give it a stored one.
     """
     span = df.agg(
         F.struct(F.min("snapshot_day").alias("lo"), F.max("snapshot_day").alias("hi"))

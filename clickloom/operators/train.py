@@ -100,7 +100,10 @@ class ModelSpec:
 
 
 def standardise(df: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:
-    """Zero mean and unit population variance; constant columns are only centred."""
+    """Zero mean and unit population variance; constant columns are only centred.
+
+    The frame is read twice, once for the moments, so give it a stored one.
+    """
     moments = df.agg(
         F.struct(
             *[F.avg(c).alias(f"{c}_m") for c in columns],
@@ -109,10 +112,15 @@ def standardise(df: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> DataF
     ).scalar()
 
     def scaled(c: str) -> Column:
-        spread = moments[f"{c}_s"]
-        return (F.col(c) - moments[f"{c}_m"]) / F.when(spread > 0, spread).otherwise(1.0)
+        spread = F.col(f"_moments.{c}_s")
+        centred = F.col(c) - F.col(f"_moments.{c}_m")
+        return centred / F.when(spread > 0, spread).otherwise(1.0)
 
-    return df.withColumns({c: scaled(c) for c in columns})
+    return (
+        df.withColumn("_moments", moments)
+        .withColumns({c: scaled(c) for c in columns})
+        .drop("_moments")
+    )
 
 
 def class_counts(df: DataFrame, label: str = TARGET) -> tuple[int, int]:

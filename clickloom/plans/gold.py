@@ -14,7 +14,7 @@ from ..functions.timeline import MICROS_PER_SECOND
 from ..operators.behavior import build_user_behavior
 from ..operators.popularity import Method, build_item_popularity_features, visitor_cart_totals
 from ..operators.sessions import activity_slots, build_session_features, number_sessions
-from ..operators.snapshots import KEY, days_before, require_rows
+from ..operators.snapshots import KEY, days_before, require_rows, silver_totals
 from ..operators.target import create_purchase_target, daily_purchases
 from ..schemas import (
     LONG_WINDOW_DAYS,
@@ -122,7 +122,7 @@ def build_gold(
 
 def _add_inference_day(daily: DataFrame, silver: DataFrame) -> DataFrame:
     """Give each visitor's last day a second, empty row on the inference day."""
-    inference = (silver.agg(F.max("snapshot_day")).scalar() + 1).cast("int")
+    inference = (silver_totals(silver)["last_day"] + 1).cast("int")
     sums = [c for c in daily.columns if c not in KEY]
     zero = F.lit(0).cast("long")
     own = F.struct("snapshot_day", *sums)

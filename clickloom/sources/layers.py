@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
+from ..schemas import BRONZE_COLUMNS
 from ..operators.quality import count_copies, quarantine_rows, silver_rows
 
 
@@ -21,7 +22,8 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return read_layer(spark, path)
+    """Silver in bronze column order, with or without event folders."""
+    return read_layer(spark, path).select(*BRONZE_COLUMNS)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
@@ -31,14 +33,13 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
 def write_layer(df: DataFrame, path: str, partition_by: str | None = None) -> int:
     """Overwrite one Parquet dataset and return its row count.
 
-    The count is observed on the write, so the plan runs once.
+    The plan runs once; the count is taken from the file footers afterwards.
     """
-    seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return seen.get["rows"]
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def write_bronze(df: DataFrame, path: str) -> int:
@@ -56,11 +57,18 @@ def write_predictions(df: DataFrame, path: str) -> int:
     return write_layer(df, path)
 
 
-def write_silver(bronze: DataFrame, silver_path: str, quarantine_path: str) -> dict[str, int]:
-    """Classify bronze once and write both sinks; returns the row counts."""
+def write_silver(
+    bronze: DataFrame, silver_path: str, quarantine_path: str, by_event: bool = True
+) -> dict[str, int]:
+    """Classify bronze once and write both sinks; returns the row counts.
+
+    With ``by_event`` silver has one folder per event type. The popularity
+    features read carts and transactions only and then skip the views, which
+    are nearly all of the data.
+    """
     counted = count_copies(bronze).persist(StorageLevel.DISK_ONLY)
     try:
-        valid = write_layer(silver_rows(counted), silver_path)
+        valid = write_layer(silver_rows(counted), silver_path, "event" if by_event else None)
         bad = write_layer(quarantine_rows(counted), quarantine_path)
     finally:
         counted.unpersist()

@@ -73,6 +73,10 @@ def session(cpus: int = 8) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # gold alone needs more generated classes than the default cache of 100 holds
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
+        # the test data is tiny; keep all cores busy after a shuffle
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import (
@@ -52,26 +52,23 @@ def item_day_grid(silver: DataFrame) -> DataFrame:
 def popularity_spans(silver: DataFrame, window_days: int = LONG_WINDOW_DAYS) -> DataFrame:
     """Spans ``[from_day, to_day)`` in which an item's popularity is constant and
     above zero."""
-    day = F.col("snapshot_day")
-    changes = F.array(
-        F.struct((day + 1).alias("from_day"), F.lit(1).cast("long").alias("change")),
-        F.struct((day + window_days + 1).alias("from_day"), F.lit(-1).cast("long").alias("change")),
+    changes = (
+        "inline(array(struct(snapshot_day + 1 AS from_day, 1L AS change), "
+        f"struct(snapshot_day + {window_days + 1} AS from_day, -1L AS change)))"
     )
     steps = (
         silver.filter(F.col("event") == TRANSACTION)
-        .select("itemid", F.inline(changes))
+        .selectExpr("itemid", changes)
         .groupBy("itemid", "from_day")
         .agg(F.sum("change").alias("change"))
     )
-    in_time = Window.partitionBy("itemid").orderBy("from_day")
-    return steps.select(
+    in_time = "PARTITION BY itemid ORDER BY from_day"
+    return steps.selectExpr(
         "itemid",
         "from_day",
-        F.lead("from_day").over(in_time).alias("to_day"),
-        F.sum("change")
-        .over(in_time.rowsBetween(Window.unboundedPreceding, 0))
-        .alias("item_transactions_30d"),
-    ).filter(F.col("item_transactions_30d") > 0)
+        f"lead(from_day) OVER ({in_time}) AS to_day",
+        f"sum(change) OVER ({in_time} ROWS UNBOUNDED PRECEDING) AS item_transactions_30d",
+    ).filter("item_transactions_30d > 0")
 
 
 def _each_day(spans: DataFrame, *columns: str) -> DataFrame:
@@ -112,15 +109,14 @@ def _thresholds_above_zero(
     """
     if method not in ("disc", "linear"):
         raise ValueError(f"unknown method {method!r}")
-    of_day = Window.partitionBy("snapshot_day")
-    up_to = of_day.orderBy("item_transactions_30d").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
         popularity_histogram(silver, window_days)
-        .select(
+        .selectExpr(
             "snapshot_day",
-            F.col("item_transactions_30d").alias("value"),
-            F.sum("items").over(of_day).alias("popular"),
-            F.sum("items").over(up_to).alias("up_to"),
+            "item_transactions_30d AS value",
+            "sum(items) OVER (PARTITION BY snapshot_day) AS popular",
+            "sum(items) OVER (PARTITION BY snapshot_day ORDER BY item_transactions_30d"
+            " ROWS UNBOUNDED PRECEDING) AS up_to",
         )
         .withColumn("all", silver_totals(silver)["items"])
         .withColumn("zeros", F.col("all") - F.col("popular"))

@@ -48,10 +48,10 @@ def activity_slots(
     ).agg(
         F.min(ts_col).alias("first_time"),
         F.max(ts_col).alias("last_time"),
-        F.count(F.lit(1)).alias("events"),
-        F.count_if(F.col("event") == VIEW).alias("views"),
-        F.count_if(F.col("event") == ADD_TO_CART).alias("addtocarts"),
-        F.count_if(F.col("event") == TRANSACTION).alias("transactions"),
+        F.expr("count(1) AS events"),
+        F.expr(f"count_if(event = '{VIEW}') AS views"),
+        F.expr(f"count_if(event = '{ADD_TO_CART}') AS addtocarts"),
+        F.expr(f"count_if(event = '{TRANSACTION}') AS transactions"),
     )
 
 
@@ -61,17 +61,17 @@ def number_sessions(
     by: tuple[str, ...] = ("visitorid",),
 ) -> DataFrame:
     """Add ``first_us``, ``last_us``, ``new_session`` and ``session_id`` to slots."""
-    in_time = Window.partitionBy(*by).orderBy("first_us")
-    gap = F.col("first_us") - F.lag("last_us").over(in_time)
-    limit = F.lit(int(timeout_minutes * MICROS_PER_MINUTE))
+    in_time = f"PARTITION BY {', '.join(by)} ORDER BY first_us"
+    limit = int(timeout_minutes * MICROS_PER_MINUTE)
+    gap = f"first_us - lag(last_us) OVER ({in_time})"
     return (
         slots.withColumns(
             {"first_us": epoch_micros("first_time"), "last_us": epoch_micros("last_time")}
         )
-        .withColumn("new_session", F.when(gap <= limit, 0).otherwise(1))
-        .withColumn(
-            "session_id",
-            F.sum("new_session").over(in_time.rowsBetween(Window.unboundedPreceding, 0)),
+        .selectExpr("*", f"IF({gap} <= {limit}L, 0, 1) AS new_session")
+        .selectExpr(
+            "*",
+            f"sum(new_session) OVER ({in_time} ROWS UNBOUNDED PRECEDING) AS session_id",
         )
     )
 

@@ -7,14 +7,14 @@ carries sessions, daily sums and both rolling windows without another exchange.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timeline import MICROS_PER_SECOND
 from ..operators.behavior import build_user_behavior
 from ..operators.popularity import Method, build_item_popularity_features, visitor_cart_totals
 from ..operators.sessions import activity_slots, build_session_features, number_sessions
-from ..operators.snapshots import KEY, days_before, require_rows, silver_totals
+from ..operators.snapshots import KEY, require_rows, silver_totals
 from ..operators.target import create_purchase_target, daily_purchases
 from ..schemas import (
     LONG_WINDOW_DAYS,
@@ -24,7 +24,15 @@ from ..schemas import (
     TOP_SELLER_QUANTILE,
 )
 
-_COUNTS = ["views", "addtocarts", "transactions", "popularity", "top_sellers"]
+_SUMS = ["views", "addtocarts", "transactions", "popularity", "top_sellers"]
+_DAILY = [*_SUMS, "duration", "sessions"]
+
+
+def _frame(days: int) -> str:
+    return (
+        "OVER (PARTITION BY visitorid ORDER BY snapshot_day "
+        f"RANGE BETWEEN {days} PRECEDING AND 1 PRECEDING)"
+    )
 
 
 def build_gold(
@@ -41,97 +49,77 @@ def build_gold(
     With ``inference_day`` every visitor also gets the day after the last one.
     """
     require_rows(silver)
-    none = F.lit(0).cast("long")
-    slots = activity_slots(silver, timeout_minutes).select(
-        "visitorid",
-        F.col("day").alias("snapshot_day"),
-        F.lit(0).alias("kind"),
-        "first_time",
-        "last_time",
-        "views",
-        "addtocarts",
-        "transactions",
-        none.alias("popularity"),
-        none.alias("top_sellers"),
+    slots = activity_slots(silver, timeout_minutes).selectExpr(
+        "visitorid", "day AS snapshot_day", "0 AS kind", "first_time", "last_time",
+        "views", "addtocarts", "transactions", "0L AS popularity", "0L AS top_sellers",
     )
-    carts = visitor_cart_totals(silver, quantile, method).select(
-        *KEY,
-        F.lit(1).alias("kind"),
-        F.lit(None).cast(silver.schema["event_time"].dataType).alias("first_time"),
-        F.lit(None).cast(silver.schema["event_time"].dataType).alias("last_time"),
-        none.alias("views"),
-        none.alias("addtocarts"),
-        none.alias("transactions"),
-        F.col("cart_item_popularity_sum").alias("popularity"),
-        F.col("top_seller_cart_count").alias("top_sellers"),
+    time_type = silver.schema["event_time"].dataType.simpleString()
+    carts = visitor_cart_totals(silver, quantile, method).selectExpr(
+        "visitorid", "snapshot_day", "1 AS kind",
+        f"CAST(NULL AS {time_type}) AS first_time", f"CAST(NULL AS {time_type}) AS last_time",
+        "0L AS views", "0L AS addtocarts", "0L AS transactions",
+        "cart_item_popularity_sum AS popularity", "top_seller_cart_count AS top_sellers",
     )
     # The only shuffle by visitor. Windows and aggregates below have keys that
     # start with the visitor, so they keep this partitioning.
-    rows = slots.unionByName(carts).repartition("visitorid")
+    rows = slots.unionAll(carts).repartition("visitorid")
     numbered = number_sessions(rows, timeout_minutes, by=("visitorid", "kind"))
 
-    of_session = Window.partitionBy("visitorid", "kind", "session_id")
-    starts = (F.col("kind") == 0) & (F.col("new_session") == 1)
-    micros = F.max("last_us").over(of_session) - F.min("first_us").over(of_session)
-    # Durations are added up as whole numbers, which gives the same sum in any order.
-    length = F.floor(micros / F.lit(float(MICROS_PER_SECOND))) if whole_seconds else micros
-    per_minute = 60.0 if whole_seconds else 60.0 * MICROS_PER_SECOND
+    # A session's length is put on the slot in which it starts. Lengths are added
+    # up as whole numbers, which gives the same sum in any order.
+    of_session = "OVER (PARTITION BY visitorid, kind, session_id)"
+    micros = f"(max(last_us) {of_session} - min(first_us) {of_session})"
+    unit = MICROS_PER_SECOND if whole_seconds else 1
     daily = (
-        numbered.withColumn("duration", F.when(starts, length).otherwise(none))
+        numbered.selectExpr(
+            *KEY, *_SUMS,
+            "kind = 0 AND new_session = 1 AS starts", f"{micros} div {unit} AS length",
+        )
         .groupBy(*KEY)
         .agg(
-            *[F.sum(c).alias(c) for c in _COUNTS],
-            F.sum("duration").alias("duration"),
-            F.count_if(starts).alias("sessions"),
+            *[F.sum(c).alias(c) for c in _SUMS],
+            F.expr("sum(IF(starts, length, 0L)) AS duration"),
+            F.expr("count_if(starts) AS sessions"),
         )
     )
     if inference_day:
         daily = _add_inference_day(daily, silver)
 
-    short, long = days_before(SHORT_WINDOW_DAYS, 1), days_before(LONG_WINDOW_DAYS, 1)
-    rolled = daily.select(
+    short, long = _frame(SHORT_WINDOW_DAYS), _frame(LONG_WINDOW_DAYS)
+    rolled = daily.selectExpr(
         *KEY,
-        F.sum("views").over(short).alias("views"),
-        F.sum("addtocarts").over(short).alias("carts"),
-        F.sum("transactions").over(long).alias("transactions"),
-        F.sum("sessions").over(long).alias("sessions"),
-        F.sum("duration").over(long).alias("duration"),
-        F.sum("popularity").over(short).alias("popularity"),
-        F.sum("top_sellers").over(short).alias("top_sellers"),
+        f"sum(views) {short} AS views",
+        f"sum(addtocarts) {short} AS carts",
+        f"sum(transactions) {long} AS transactions",
+        f"sum(sessions) {long} AS sessions",
+        f"sum(duration) {long} AS duration",
+        f"sum(popularity) {short} AS popularity",
+        f"sum(top_sellers) {short} AS top_sellers",
     )
-
-    def count(c):
-        return F.coalesce(F.col(c), F.lit(0))
-
-    def ratio(a, b):
-        return F.coalesce(F.try_divide(a, b), F.lit(0.0))
-
-    return rolled.select(
+    per_minute = 60 * MICROS_PER_SECOND // unit
+    return rolled.selectExpr(
         *KEY,
-        count("views").alias("user_views_7d"),
-        count("carts").alias("user_addtocart_7d"),
-        count("transactions").alias("user_transactions_30d"),
-        count("sessions").alias("user_sessions_30d"),
-        ratio(F.col("duration") / F.lit(per_minute), F.col("sessions")).alias(
-            "avg_session_duration_30d"
-        ),
-        ratio(F.col("popularity"), F.col("carts")).alias("user_cart_items_avg_popularity_7d"),
-        ratio(F.col("top_sellers"), F.col("carts")).alias("user_cart_top_seller_ratio_7d"),
+        "coalesce(views, 0L) AS user_views_7d",
+        "coalesce(carts, 0L) AS user_addtocart_7d",
+        "coalesce(transactions, 0L) AS user_transactions_30d",
+        "coalesce(sessions, 0L) AS user_sessions_30d",
+        f"coalesce(try_divide(duration / {per_minute}.0D, sessions), 0D)"
+        " AS avg_session_duration_30d",
+        "coalesce(try_divide(popularity, carts), 0D) AS user_cart_items_avg_popularity_7d",
+        "coalesce(try_divide(top_sellers, carts), 0D) AS user_cart_top_seller_ratio_7d",
     )
 
 
 def _add_inference_day(daily: DataFrame, silver: DataFrame) -> DataFrame:
     """Give each visitor's last day a second, empty row on the inference day."""
+    own = f"struct(snapshot_day, {', '.join(_DAILY)})"
+    ahead = f"struct(_ahead AS snapshot_day, {', '.join(f'0L AS {c}' for c in _DAILY)})"
+    is_last = "lead(snapshot_day) OVER (PARTITION BY visitorid ORDER BY snapshot_day) IS NULL"
     inference = (silver_totals(silver)["last_day"] + 1).cast("int")
-    sums = [c for c in daily.columns if c not in KEY]
-    zero = F.lit(0).cast("long")
-    own = F.struct("snapshot_day", *sums)
-    ahead = F.struct(inference.alias("snapshot_day"), *[zero.alias(c) for c in sums])
-    next_day = F.lead("snapshot_day").over(
-        Window.partitionBy("visitorid").orderBy("snapshot_day")
-    )
-    return daily.withColumn("_next", next_day).select(
-        "visitorid", F.inline(F.when(F.col("_next").isNull(), F.array(own, ahead)).otherwise(F.array(own)))
+    return (
+        daily.selectExpr("*", f"{is_last} AS _last")
+        .withColumn("_ahead", inference)
+        .selectExpr("visitorid", f"inline(IF(_last, array({own}, {ahead}), array({own})))")
     )
 
 

@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timeline import MICROS_PER_SECOND
+from ..functions.timeline import MICROS_PER_MINUTE, MICROS_PER_SECOND, epoch_micros
 from ..operators.behavior import build_user_behavior
 from ..operators.popularity import Method, build_item_popularity_features, visitor_cart_totals
-from ..operators.sessions import activity_slots, build_session_features, number_sessions
+from ..operators.sessions import activity_slots, build_session_features
 from ..operators.snapshots import KEY, require_rows, silver_totals
 from ..operators.target import create_purchase_target, daily_purchases
 from ..schemas import (
@@ -63,27 +63,11 @@ def build_gold(
     # The only shuffle by visitor. Windows and aggregates below have keys that
     # start with the visitor, so they keep this partitioning.
     rows = slots.unionAll(carts).repartition("visitorid")
-    numbered = number_sessions(rows, timeout_minutes, by=("visitorid", "kind"))
-
-    # A session's length is put on the slot in which it starts. Lengths are added
-    # up as whole numbers, which gives the same sum in any order.
-    of_session = "OVER (PARTITION BY visitorid, kind, session_id)"
-    micros = f"(max(last_us) {of_session} - min(first_us) {of_session})"
     unit = MICROS_PER_SECOND if whole_seconds else 1
-    daily = (
-        numbered.selectExpr(
-            *KEY, *_SUMS,
-            "kind = 0 AND new_session = 1 AS starts", f"{micros} div {unit} AS length",
-        )
-        .groupBy(*KEY)
-        .agg(
-            *[F.sum(c).alias(c) for c in _SUMS],
-            F.expr("sum(IF(starts, length, 0L)) AS duration"),
-            F.expr("count_if(starts) AS sessions"),
-        )
-    )
+    activity = _with_session_starts(rows, timeout_minutes, unit)
     if inference_day:
-        daily = _add_inference_day(daily, silver)
+        activity = _with_inference_day(activity, silver)
+    daily = activity.groupBy(*KEY).agg(*[F.sum(c).alias(c) for c in _DAILY])
 
     short, long = _frame(SHORT_WINDOW_DAYS), _frame(LONG_WINDOW_DAYS)
     rolled = daily.selectExpr(
@@ -110,16 +94,47 @@ def build_gold(
     )
 
 
-def _add_inference_day(daily: DataFrame, silver: DataFrame) -> DataFrame:
-    """Give each visitor's last day a second, empty row on the inference day."""
+def _with_session_starts(rows: DataFrame, timeout_minutes: float, unit: int) -> DataFrame:
+    """Put ``sessions`` = 1 and the length of the session on the slot that starts it.
+
+    The end of a session is known at the first slot of the next one, or at the
+    visitor's last slot. Looking ahead to the nearest such slot needs the time
+    order only, so all windows here share one sort. Lengths are whole numbers of
+    ``unit`` microseconds, which add up to the same sum in any order.
+    """
+    in_time = "OVER (PARTITION BY visitorid, kind ORDER BY first_us)"
+    limit = int(timeout_minutes * MICROS_PER_MINUTE)
+    starts = f"kind = 0 AND coalesce(first_us - _previous > {limit}L, true)"
+    return (
+        rows.withColumns(
+            {"first_us": epoch_micros("first_time"), "last_us": epoch_micros("last_time")}
+        )
+        .selectExpr(
+            *KEY, "kind", *_SUMS, "first_us", "last_us",
+            f"lag(last_us) {in_time} AS _previous",
+            f"kind = 0 AND lead(first_us) {in_time} IS NULL AS is_last",
+        )
+        .selectExpr("*", f"{starts} AS starts")
+        .selectExpr("*", "CASE WHEN starts THEN _previous WHEN is_last THEN last_us END AS _end")
+        .selectExpr(
+            *KEY, *_SUMS, "is_last", "starts", "first_us",
+            f"coalesce(lead(_end) IGNORE NULLS {in_time}, last_us) AS _session_end",
+        )
+        .selectExpr(
+            *KEY, *_SUMS, "is_last",
+            f"IF(starts, (_session_end - first_us) div {unit}, 0L) AS duration",
+            "IF(starts, 1L, 0L) AS sessions",
+        )
+    )
+
+
+def _with_inference_day(activity: DataFrame, silver: DataFrame) -> DataFrame:
+    """Give each visitor's last slot a second, empty row on the inference day."""
     own = f"struct(snapshot_day, {', '.join(_DAILY)})"
     ahead = f"struct(_ahead AS snapshot_day, {', '.join(f'0L AS {c}' for c in _DAILY)})"
-    is_last = "lead(snapshot_day) OVER (PARTITION BY visitorid ORDER BY snapshot_day) IS NULL"
     inference = (silver_totals(silver)["last_day"] + 1).cast("int")
-    return (
-        daily.selectExpr("*", f"{is_last} AS _last")
-        .withColumn("_ahead", inference)
-        .selectExpr("visitorid", f"inline(IF(_last, array({own}, {ahead}), array({own})))")
+    return activity.withColumn("_ahead", inference).selectExpr(
+        "visitorid", f"inline(IF(is_last, array({own}, {ahead}), array({own})))"
     )
 
 

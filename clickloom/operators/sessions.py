@@ -39,8 +39,15 @@ def activity_slots(
     timeout_minutes: float = SESSION_TIMEOUT_MINUTES,
     visitor_col: str = "visitorid",
     ts_col: str = "event_time",
+    counts: bool = True,
 ) -> DataFrame:
-    """First and last event and event counts per visitor, day and slot."""
+    """First and last event per visitor, day and slot, with event counts or without."""
+    per_event = {
+        "events": "count(1)",
+        "views": f"count_if(event = '{VIEW}')",
+        "addtocarts": f"count_if(event = '{ADD_TO_CART}')",
+        "transactions": f"count_if(event = '{TRANSACTION}')",
+    }
     return events.groupBy(
         F.col(visitor_col).alias("visitorid"),
         day_index(ts_col).alias("day"),
@@ -48,10 +55,7 @@ def activity_slots(
     ).agg(
         F.min(ts_col).alias("first_time"),
         F.max(ts_col).alias("last_time"),
-        F.expr("count(1) AS events"),
-        F.expr(f"count_if(event = '{VIEW}') AS views"),
-        F.expr(f"count_if(event = '{ADD_TO_CART}') AS addtocarts"),
-        F.expr(f"count_if(event = '{TRANSACTION}') AS transactions"),
+        *[F.expr(f"{e} AS {name}") for name, e in per_event.items() if counts],
     )
 
 
@@ -185,7 +189,8 @@ def create_sessions(
 ) -> DataFrame:
     """Add ``session_id`` to events, looked up from the numbered slots."""
     numbered = number_sessions(
-        activity_slots(events, timeout_minutes, visitor_col, ts_col), timeout_minutes
+        activity_slots(events, timeout_minutes, visitor_col, ts_col, counts=False),
+        timeout_minutes,
     ).select(
         F.col("visitorid").alias(visitor_col),
         F.col("day").alias("_day"),

@@ -65,9 +65,11 @@ def build_gold(
     rows = slots.unionAll(carts).repartition("visitorid")
     unit = MICROS_PER_SECOND if whole_seconds else 1
     activity = _with_session_starts(rows, timeout_minutes, unit)
+    daily = activity.groupBy(*KEY).agg(
+        *[F.sum(c).alias(c) for c in _DAILY], F.bool_or("is_last").alias("is_last")
+    )
     if inference_day:
-        activity = _with_inference_day(activity, silver)
-    daily = activity.groupBy(*KEY).agg(*[F.sum(c).alias(c) for c in _DAILY])
+        daily = _with_inference_day(daily, silver)
 
     short, long = _frame(SHORT_WINDOW_DAYS), _frame(LONG_WINDOW_DAYS)
     rolled = daily.selectExpr(
@@ -128,12 +130,12 @@ def _with_session_starts(rows: DataFrame, timeout_minutes: float, unit: int) ->
     )
 
 
-def _with_inference_day(activity: DataFrame, silver: DataFrame) -> DataFrame:
-    """Give each visitor's last slot a second, empty row on the inference day."""
+def _with_inference_day(daily: DataFrame, silver: DataFrame) -> DataFrame:
+    """Give each visitor's last day a second, empty row on the inference day."""
     own = f"struct(snapshot_day, {', '.join(_DAILY)})"
     ahead = f"struct(_ahead AS snapshot_day, {', '.join(f'0L AS {c}' for c in _DAILY)})"
     inference = (silver_totals(silver)["last_day"] + 1).cast("int")
-    return activity.withColumn("_ahead", inference).selectExpr(
+    return daily.withColumn("_ahead", inference).selectExpr(
         "visitorid", f"inline(IF(is_last, array({own}, {ahead}), array({own})))"
     )
 

@@ -22,6 +22,13 @@ def test_gap_of_exactly_the_timeout_keeps_the_session(make_events):
         assert [r.session_id for r in result.orderBy("event_time").collect()] == expected
 
 
+def test_sessions_need_visitor_and_time_only(spark, make_events):
+    bare = make_events(GAPS).selectExpr("visitorid AS who", "event_time AS timestamp")
+    found = sessions.create_sessions(bare, visitor_col="who").orderBy("timestamp")
+    assert found.columns == ["who", "timestamp", "session_id"]
+    assert [r.session_id for r in found.collect()] == [1, 1, 2, 2]
+
+
 def test_whole_second_and_exact_duration(make_events):
     one = make_events([GAPS[0], (60 * MIN + 1.5, 1, "view", 1, None)])
     whole = sessions.session_table(one, timeout_minutes=120).first()

@@ -45,22 +45,29 @@ def silver_rows(counted: DataFrame) -> DataFrame:
     return counted.filter(F.col(ERROR).isNull()).select(*BRONZE_COLUMNS)
 
 
+def classified_copies(counted: DataFrame) -> DataFrame:
+    """Number of copies per distinct row and code.
+
+    A faultless row gives one copy without a code, the others are duplicates. All
+    copies of a faulty row have the code of its rule.
+    """
+    valid, copies = F.col(ERROR).isNull(), F.col(_COPIES)
+    parts = F.array(
+        F.struct(F.col(ERROR), F.when(valid, F.lit(1)).otherwise(copies).alias(_COPIES)),
+        F.struct(F.lit(DUPLICATE).alias(ERROR), F.when(valid, copies - 1).alias(_COPIES)),
+    )
+    return counted.select(*BRONZE_COLUMNS, F.inline(parts)).filter(F.col(_COPIES) > 0)
+
+
 def quarantine_rows(counted: DataFrame) -> DataFrame:
     """All copies of faulty rows, and all but the first copy of the others."""
-    first_is_valid = F.col(ERROR).isNull().cast("int")
-    flagged = counted.select(
-        *BRONZE_COLUMNS,
-        F.coalesce(F.col(ERROR), F.lit(DUPLICATE)).alias(ERROR),
-        (F.col(_COPIES) - first_is_valid).alias(_COPIES),
-    )
-    return expand_copies(flagged.filter(F.col(_COPIES) > 0), _COPIES)
+    flagged = classified_copies(counted).filter(F.col(ERROR).isNotNull())
+    return expand_copies(flagged, _COPIES)
 
 
 def validate(bronze: DataFrame) -> DataFrame:
     """Bronze rows with the code of the first broken rule, null when valid."""
-    counted = count_copies(bronze)
-    valid = silver_rows(counted).withColumn(ERROR, F.lit(None).cast("string"))
-    return valid.unionByName(quarantine_rows(counted))
+    return expand_copies(classified_copies(count_copies(bronze)), _COPIES)
 
 
 def split_validated(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -91,17 +98,7 @@ def quality_metrics_from_counts(counted: DataFrame) -> DataFrame:
 
 def error_counts(counted: DataFrame) -> DataFrame:
     """Rows per error code; the null code counts the valid rows."""
-    valid = F.col(ERROR).isNull()
-    parts = F.array(
-        F.struct(F.col(ERROR), F.when(valid, 1).otherwise(F.col(_COPIES)).alias("n")),
-        F.struct(F.lit(DUPLICATE).alias(ERROR), F.when(valid, F.col(_COPIES) - 1).alias("n")),
-    )
-    return (
-        counted.select(F.inline(parts))
-        .filter(F.col("n") > 0)
-        .groupBy(ERROR)
-        .agg(F.sum("n").alias("rows"))
-    )
+    return classified_copies(counted).groupBy(ERROR).agg(F.sum(_COPIES).alias("rows"))
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:

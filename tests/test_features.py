@@ -192,3 +192,9 @@ def test_purchase_target_window(spark, day0):
     assert rows(result, "visitorid", "snapshot_day", "purchase_next_7d") == [
         (1, 10, 1), (1, 11, 0), (1, 3, 0), (1, 4, 1), (2, 4, 0),
     ]
+
+
+def test_zoned_timestamps_give_the_same_features(spark, silver):
+    zoned = silver.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    columns = ["visitorid", "snapshot_day", *MODEL_FEATURES]
+    assert rows(gold.build_gold(zoned), *columns) == rows(gold.build_gold(silver), *columns)

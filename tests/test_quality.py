@@ -132,3 +132,12 @@ def test_integrality(spark):
     halves = spark.createDataFrame([(1.0,), (None,), (2.5,)], "p double")
     assert not profile.all_whole_numbers(halves, "p").first()[0]
     assert profile.all_whole_numbers(halves.filter("p is null or p < 2"), "p").first()[0]
+
+
+def test_validation_shuffles_the_rows_once(make_events):
+    validated = quality.validate(make_events(DIRTY))
+    validated.collect()
+    plan = validated._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    by_row = [x for x in final.splitlines() if "Exchange hashpartitioning(event_time" in x]
+    assert len([x for x in by_row if "_chunk" not in x and "Reused" not in x]) == 1

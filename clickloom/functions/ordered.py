@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from .storage import materialise
 
 _PART = "_range_part"
+# Offsets are broadcast up to this many rows (partitions plus groups), else joined.
+BROADCAST_ROWS = 100_000
 
 
 def running_totals(
@@ -65,7 +67,13 @@ def running_totals(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    with_local = placed.withColumns({inputs[n]: F.sum(inputs[n]).over(local) for n in sums})
+    # One task per range partition. Hashing the partition number instead would put
+    # several of them into one task and leave others idle.
+    pairs, last_part = per_part.agg(F.count(F.lit(1)), F.max(_PART)).first()
+    spread = placed.repartitionById((last_part or 0) + 1, F.col(_PART))
+    if pairs <= BROADCAST_ROWS:
+        parts = F.broadcast(parts)
+    with_local = spread.withColumns({inputs[n]: F.sum(inputs[n]).over(local) for n in sums})
     return with_local.join(parts, on=[*group, _PART], how="left").select(
         *columns,
         *[(F.col(inputs[n]) + F.col(offsets[n])).alias(n) for n in sums],

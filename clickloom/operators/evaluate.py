@@ -112,17 +112,19 @@ def ranking_analysis(
         rank="rank",
         totals=True,
     )
-    cuts = []
-    for k in shares:
-        n = F.greatest(F.ceil(F.col("rank_total") * F.lit(float(k))), F.lit(1))
-        cuts.append(F.struct(F.lit(float(k)).alias("top_k"), n.alias("n_users")))
+    size = {k: F.greatest(F.ceil(F.col("rank_total") * F.lit(float(k))), F.lit(1)) for k in shares}
+    # A plain comparison per share keeps the scan of all rows in generated code.
+    at_any_cut = reduce(lambda a, b: a | b, [F.col("rank") == n for n in size.values()])
+    cuts = F.array(
+        *[F.struct(F.lit(float(k)).alias("top_k"), n.alias("n_users")) for k, n in size.items()]
+    )
     at_cut = (
-        ranked.withColumn("_cut", F.filter(F.array(*cuts), lambda c: c["n_users"] == F.col("rank")))
-        .filter(F.size("_cut") > 0)
-        .select("hits", "hits_total", "rank_total", F.inline("_cut"))
+        ranked.filter(at_any_cut)
+        .select("rank", "hits", "hits_total", "rank_total", F.inline(cuts))
+        .filter(F.col("rank") == F.col("n_users"))
     )
     precision = F.col("hits") / F.col("n_users")
-    return at_cut.select(
+    report = at_cut.select(
         "top_k",
         "n_users",
         precision.alias("precision_at_k"),
@@ -130,7 +132,10 @@ def ranking_analysis(
             "recall_at_k"
         ),
         F.try_divide(precision, F.col("hits_total") / F.col("rank_total")).alias("lift_at_k"),
-    ).orderBy("top_k")
+    )
+    # One row per share. A global sort would first sample its input and so run the
+    # pass over all rows a second time.
+    return report.repartition(1).sortWithinPartitions("top_k")
 
 
 def roc_points(

@@ -53,6 +53,13 @@ def test_running_totals_equal_global_window(spark, ties):
         assert rows(got) == rows(want)
 
 
+def test_running_totals_with_more_offsets_than_are_broadcast(spark, monkeypatch):
+    df = spark.range(3000).withColumn("g", F.col("id") % 500)
+    monkeypatch.setattr(ordered, "BROADCAST_ROWS", 10)
+    got = ordered.running_totals(df, [F.asc("id")], {}, group=["g"], rank="rn", totals=True)
+    assert got.filter("rn = 1 + id div 500 AND rn_total = 6").count() == 3000
+
+
 def test_running_totals_split_the_rows(spark):
     """The ordered step never runs in a single partition."""
     df = spark.range(20_000).select("id", F.lit(0).alias("v"))

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id
-from .common import crc_remainder, table
+from . import language_id, packing, token_file
+from .common import crc_remainder, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,8 +17,12 @@ SQL: dict[str, str] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
-    return build
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 @query
@@ -27,3 +31,15 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.withColumn("held_out", crc_remainder(F.col("doc_id"), 4) == 2)
     net = language_id.fit(docs.filter("NOT held_out"))
     return language_id.predict(docs, net, ("doc_id", "held_out"))
+
+
+@query
+def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_file.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)

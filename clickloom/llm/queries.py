@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, packing, token_file
+from . import fingerprints, language_id, packing, token_file, toxicity
 from .common import crc_remainder, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,20 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, net, ("doc_id", "held_out"))
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", crc_remainder(F.col("doc_id"), 3) == 1)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    known = toxicity.learn(docs.filter("NOT held_out"), labels)
+    return toxicity.score(docs, known, ("doc_id", "held_out"))
+
+
+@query
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -5,10 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language_id, packing, token_file, toxicity
+from . import (
+    fingerprints,
+    language_id,
+    mixing,
+    packing,
+    permutation_index,
+    token_file,
+    toxicity,
+)
 from .common import crc_remainder, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +65,33 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
+@query
+def op6_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return permutation_index.search(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+#: Domain of a source; others are "other".
+DOMAINS = {"web": range(0, 5), "books": range(5, 10), "news": range(10, 15), "forum": range(15, 20)}
+TARGET_WEIGHTS = {
+    "domain": {"web": 0.4, "books": 0.3, "news": 0.2, "forum": 0.1},
+    "lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1},
+}
+
+
+def domain_of(source: Column) -> Column:
+    pairs = [F.lit(x) for name, own in DOMAINS.items() for k in own for x in (f"src{k}", name)]
+    found = F.try_element_at(F.create_map(*pairs), source)
+    return F.coalesce(found, F.lit("other"))
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    planned = mixing.plan(docs, domain_of(F.col("source")), TARGET_WEIGHTS)
+    return planned.filter("epochs > 0").select(
+        "doc_id", "domain", "lang", "source", "n_tokens", "budget",
+        F.col("epochs").cast("long").alias("epochs"),
+    )

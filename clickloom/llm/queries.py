@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import (
     fingerprints,
     language_id,
+    licenses,
     mixing,
     packing,
     permutation_index,
@@ -95,3 +96,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "domain", "lang", "source", "n_tokens", "budget",
         F.col("epochs").cast("long").alias("epochs"),
     )
+
+
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))

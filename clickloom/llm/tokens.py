@@ -13,12 +13,15 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Words in one generation of the cache; two generations are held.
-CACHE_WORDS = 300_000
+#: Words in one generation of the cache (two generations are held), and runs of letters.
+CACHE_WORDS = 200_000
+CACHE_LETTERS = 500_000
 LONG_WORD = 64
 ENCODE_AT_ONCE = 20_000
 # A space next to other white space, or at an end of the text.
 _LOOSE_SPACE = re.compile(r"(?:^|\s) | (?:\s|$)")
+# ASCII marks that stand behind a word; an apostrophe may begin a piece of its own.
+_MARKS = ".,;:!?*%&#$)]}|"
 _FIRM_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -31,10 +34,16 @@ class WordTokenizer:
     def __init__(self, path: str, keep_space: bool) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.spelling = ByteLevel(add_prefix_space=False, use_regex=False)
         self.space = " " if keep_space else ""
+        self.space_sign = self.spelling.pre_tokenize_str(" ")[0][0] if keep_space else ""
+        self.letters: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -42,6 +51,50 @@ class WordTokenizer:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _plain(self, core: str) -> bytes:
+        """Ids of one run of letters up to U+00FF, which is a single piece of both tokenizers.
+
+        Lower case and composition leave nothing to normalise, so the piece goes to the
+        library's model right after its byte-level spelling.
+        """
+        if core.isascii():  # spelt as it is, after the sign for the space
+            piece = self.space_sign + core
+        else:
+            piece = self.spelling.pre_tokenize_str(self.space + core)[0][0]
+        return np.array([x.id for x in self.model.tokenize(piece)], "<u4").tobytes()
+
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that are not cached: a run of letters and the marks behind it are
+        separate pieces, so most words share their letters with others."""
+        found: dict[str, bytes] = {}
+        whole = []
+        for word in words:
+            core = word.rstrip(_MARKS)
+            tail = word[len(core) :]
+            letters = core if self.space else core.lower()
+            if not core.isalpha() or max(core) > "\u00ff":
+                whole.append(word)
+                continue
+            ids = self.letters.get(letters)
+            if ids is None:
+                ids = self.letters[letters] = self._plain(letters)
+            if tail:
+                end = self.marks.get(tail)
+                if end is None:
+                    end = self.encode([tail])[0]
+                    if len(tail) < 8:
+                        self.marks[tail] = end
+                ids += end
+            found[word] = ids
+        for at in range(0, len(whole), ENCODE_AT_ONCE):
+            part = whole[at : at + ENCODE_AT_ONCE]
+            found.update(zip(part, self.encode([self.space + w for w in part])))
+        if len(self.letters) > CACHE_LETTERS:
+            self.letters.clear()
+        if len(self.marks) > CACHE_WORDS:
+            self.marks.clear()
+        return found
+
     def _learn(self, words: set[str]) -> dict[str, bytes]:
         """Ids of all these words; only short words enter the cache."""
         if len(self.young) > CACHE_WORDS:
@@ -57,12 +110,10 @@ class WordTokenizer:
                     continue
                 young[word] = ids
             known[word] = ids
-        for at in range(0, len(missing), ENCODE_AT_ONCE):
-            part = missing[at : at + ENCODE_AT_ONCE]
-            for word, ids in zip(part, self.encode([self.space + w for w in part])):
-                known[word] = ids
-                if len(word) <= LONG_WORD:
-                    young[word] = ids
+        for word, ids in self._new(missing).items():
+            known[word] = ids
+            if len(word) <= LONG_WORD:
+                young[word] = ids
         return known
 
     def batch(self, texts: list[str | None]) -> list[bytes]:

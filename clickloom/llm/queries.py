@@ -12,6 +12,7 @@ from . import (
     fingerprints,
     language_id,
     licenses,
+    line_dedup,
     mixing,
     packing,
     permutation_index,
@@ -101,3 +102,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs).select("doc_id", "n_lines", "n_dropped", "text")

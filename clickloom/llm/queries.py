@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     fingerprints,
+    jaccard_join,
     language_id,
     licenses,
     line_dedup,
@@ -108,3 +109,9 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup(docs).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard_join.join(table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id")

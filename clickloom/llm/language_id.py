@@ -188,7 +188,7 @@ def predict(docs: DataFrame, net: ByteConvNet | None, keep: tuple[str, ...]) ->
     that of the language returned. Texts that are null, empty or without a letter are
     ``und`` with score 0, and so is every text if there is no network.
     """
-    plain = docs.select(*keep, "text", has_letter(F.col("text")).alias("_letter"))
+    plain = docs.select(*keep, F.col("text").alias("_text"), has_letter(F.col("text")).alias("_letter"))
     schema = T.StructType(
         [plain.schema[k] for k in keep]
         + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -201,7 +201,7 @@ def predict(docs: DataFrame, net: ByteConvNet | None, keep: tuple[str, ...]) ->
             names, scores = [UNDETERMINED] * rows, np.zeros(rows)
             letters = batch.column("_letter").to_numpy(zero_copy_only=False)
             if net and rows:
-                raw, offsets = string_buffers(batch.column("text"))
+                raw, offsets = string_buffers(batch.column("_text"))
                 sums = _score(net, raw, offsets)
                 best = sums.argmax(axis=1)
                 scores = np.where(letters, np.minimum(sums[np.arange(rows), best], 1.0), 0.0)

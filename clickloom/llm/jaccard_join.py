@@ -35,6 +35,8 @@ COUNTERS, BLOCK = 1 << 18, 1 << 12
 #: One shingle in so many is counted exactly, to know how long lists are.
 SAMPLED = 4096
 PARITY_BITS = 512
+#: Bits per shingle of the wide parity, which is compared before texts are fetched.
+WIDE = 2
 TEXT_AT_ONCE = 1 << 20
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 _BYTE[[32, 9, 10, 11, 12, 13]] = 0
@@ -217,18 +219,51 @@ def boundary(passed: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> int:
 PARITY = [f"p{k}" for k in range(PARITY_BITS // 64)]
 
 
+def fold(odd: np.ndarray, size: int) -> np.ndarray:
+    """Parities over fewer bits; both sizes are powers of two."""
+    return np.bitwise_xor.reduce(odd.reshape(-1, size), axis=0)
+
+
+def _narrowed(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Those of ``pairs`` (a, b) that the wide parity does not rule out.
+
+    It has WIDE bits per shingle, so hardly any pair far below the threshold passes,
+    however large the sets are, and no pair at the threshold is lost.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        num, den = threshold
+        for batch in batches:
+            keep = []
+            names = ("left", "right", "left_n", "right_n")
+            for x, y, n, m in zip(*(batch.column(k).to_pylist() for k in names)):
+                x, y = (np.unpackbits(np.frombuffer(v, np.uint8)) for v in (x, y))
+                size = min(len(x), len(y))
+                apart = int(np.count_nonzero(fold(x, size) != fold(y, size)))
+                keep.append(apart * (den + num) <= (den - num) * (n + m))
+            kept = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a").filter(kept), batch.column("b").filter(kept)], names=["a", "b"]
+            )
+
+    left = sets.select(F.col("set_id").alias("a"), F.col("wide").alias("left"), F.col("n").alias("left_n"))
+    right = sets.select(F.col("set_id").alias("b"), F.col("wide").alias("right"), F.col("n").alias("right_n"))
+    joined = pairs.join(left, "a").join(right, "b")
+    return joined.mapInArrow(run, "a long, b long")
+
+
 def _second_pass(
     docs: DataFrame, levels: np.ndarray, edge: int, threshold: tuple[int, int]
 ) -> DataFrame:
     """One row per distinct set that can have a partner: its keys and its filters."""
-    schema = "set_id long, n long, ordinary int, keys array<long>, " + ", ".join(
+    schema = "set_id long, n long, ordinary int, keys array<long>, wide binary, " + ", ".join(
         f"{p} long" for p in PARITY
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, sets in sets_of(batches):
-            ids, sizes, ordinary, keys, parity = [], [], [], [], []
+            ids, sizes, ordinary, keys, parity, wide = [], [], [], [], [], []
             for own in sets:
                 n = len(own)
                 name = set_id(own)
@@ -247,15 +282,16 @@ def _second_pass(
                     filed.append(mix64(front[a] * _STEP + front[b]))
                 if n >= edge or threshold[1] * n >= threshold[0] * edge:
                     filed.append(front[:prefix])
-                bits = np.bincount(
-                    ((own >> np.uint64(20)) % np.uint64(PARITY_BITS)).astype(np.int64),
-                    minlength=PARITY_BITS,
-                )
+                size = max(PARITY_BITS, 1 << (WIDE * n - 1).bit_length())
+                spot = (own >> np.uint64(20)) & np.uint64(size - 1)
+                odd = (np.bincount(spot.astype(np.int64), minlength=size) & 1).astype(np.uint8)
+                wide.append(np.packbits(odd).tobytes())
+                bits = fold(odd, PARITY_BITS)
                 ids.append(name)
                 sizes.append(n)
                 ordinary.append(int(1000 * level.mean()))
                 keys.append(np.concatenate(filed).view(np.int64))
-                parity.append(np.packbits((bits & 1).astype(np.uint8)).view("<i8"))
+                parity.append(np.packbits(bits).view("<i8"))
             counts = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             table = np.array(parity, np.int64).reshape(-1, len(PARITY))
@@ -265,9 +301,10 @@ def _second_pass(
                     pa.array(sizes, pa.int64()),
                     pa.array(ordinary, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(counts), pa.array(flat)),
+                    pa.array(wide, pa.binary()),
                 ]
                 + [pa.array(table[:, k]) for k in range(len(PARITY))],
-                names=["set_id", "n", "ordinary", "keys", *PARITY],
+                names=["set_id", "n", "ordinary", "keys", "wide", *PARITY],
             )
 
     return docs.select("text").mapInArrow(run, schema).dropDuplicates(["set_id"])
@@ -363,9 +400,8 @@ def join(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
         F.col("set_id").alias("a"), F.col("pivot"), *[F.col(c).alias(f"a_{c}") for c in filters]
     )
     both = one.join(info.withColumnRenamed("set_id", "pivot"), "pivot")
-    first = materialise(
-        both.filter(_possible(threshold)).select("a", F.col("pivot").alias("b"))
-    )
+    near = both.filter(_possible(threshold)).select("a", F.col("pivot").alias("b"))
+    first = materialise(_narrowed(near, sets, threshold))
     links = materialise(_verified(first, plain, holders, threshold))
     labels = components(links)
 
@@ -384,11 +420,12 @@ def join(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     rest = materialise(labelled.join(mixed, "key", "left_semi").join(info, "set_id"))
     left = rest.select(*[F.col(c).alias(f"a_{c}") for c in rest.columns])
     apart = (F.col("a_set_id") < F.col("set_id")) & (F.col("a_component") != F.col("component"))
-    second = materialise(
+    near = (
         left.join(rest, (F.col("a_key") == F.col("key")) & apart & _possible(threshold))
         .select(F.col("a_set_id").alias("a"), F.col("set_id").alias("b"))
         .distinct()
     )
+    second = materialise(_narrowed(near, sets, threshold))
     links = links.union(_verified(second, plain, holders, threshold))
     labels = components(links).select(F.col("node").alias("set_id"), "component")
 

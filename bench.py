@@ -18,8 +18,8 @@ from checks import catalog  # noqa: E402
 from checks.compare import session  # noqa: E402
 from clickloom.functions import storage  # noqa: E402
 from clickloom.operators import explore, popularity, quality, score, sessions, snapshots  # noqa: E402
-from clickloom.operators import evaluate  # noqa: E402
-from clickloom.plans import gold  # noqa: E402
+from clickloom.operators import evaluate, train  # noqa: E402
+from clickloom.plans import batch_job, gold  # noqa: E402
 from clickloom.sources import layers, star_schema  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -27,17 +27,6 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
-def dense_threshold(silver):
-    """The threshold by way of the full items x days grid, for comparison."""
-    from pyspark.sql import functions as F
-
-    frame = snapshots.days_before(30, 1, by="itemid")
-    grid = popularity.item_day_grid(silver).withColumn(
-        "p", F.coalesce(F.sum("transactions").over(frame), F.lit(0))
-    )
-    return grid.groupBy("snapshot_day").agg(F.percentile_approx("p", 0.9))
-
-
 def main() -> None:
     spark = session(CPUS)
     base = storage.shared_path(spark, "bench")
@@ -54,13 +43,16 @@ def main() -> None:
     labels = star_schema.scored_labels(spark, SF_DIR)
     pairs = catalog.catalog.item_categories(star_schema.item_properties(spark, SF_DIR))
 
+    tree = star_schema.category_tree(spark, SF_DIR)
+    raw = star_schema.raw_events(spark, SF_DIR)
+    training_rows = storage.materialise(gold.build_training_frame(silver))
+
     queries = {
         "dq_classify": lambda: quality.validate(bronze),
         "dq_metrics": lambda: quality.quality_metrics_from_counts(quality.count_copies(bronze)),
         "session_features": lambda: sessions.build_session_features(silver, days),
         "popularity_features": lambda: popularity.build_item_popularity_features(silver, days),
         "threshold_sparse": lambda: popularity.top_seller_threshold(silver),
-        "threshold_dense_grid": lambda: dense_threshold(silver),
         "gold": lambda: gold.build_gold(silver),
         "gold_by_parts": lambda: gold.build_gold_by_parts(silver, days),
         "training_frame": lambda: gold.build_training_frame(silver),
@@ -77,16 +69,22 @@ def main() -> None:
         "category_purchases": lambda: catalog.catalog.category_purchases(silver, pairs),
         "evaluate_model": lambda: evaluate.evaluate_model(labels),
         "ranking_analysis": lambda: evaluate.ranking_analysis(labels),
+        "category_depth": lambda: catalog.catalog.build_category_depth(tree),
+        "end_to_end": lambda: batch_job.score_raw_events(raw, catalog.fixed_score),
+        "logistic_fit": lambda: train.score_rows(
+            train.fit_model(training_rows, train.ModelSpec("logistic")), training_rows
+        ),
     }
     seconds = {}
     for name, build in queries.items():
         times = []
         for _ in range(RUNS):
             start = time.perf_counter()
-            build().write.format("noop").mode("overwrite").save()
-            times.append(time.perf_counter() - start)
+            with storage.scope(spark):
+                build().write.format("noop").mode("overwrite").save()
+                times.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(times), 3)
-    total = sum(v for k, v in seconds.items() if k != "threshold_dense_grid")
+    total = sum(seconds.values())
     print(
         json.dumps(
             {

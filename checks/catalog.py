@@ -10,7 +10,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +31,7 @@ from clickloom.operators import (
     target,
     train,
 )
-from clickloom.plans import batch_job, gold
+from clickloom.plans import batch_job, gold, training
 from clickloom.schemas import EVENT_TYPES, MODEL_FEATURES, TARGET
 from clickloom.sources import catalog as catalog_files
 from clickloom.sources import events as event_files
@@ -47,9 +48,24 @@ HISTORY_DAYS = 14
 WEIGHTS = dict(zip(MODEL_FEATURES, [0.02, 0.15, 0.05, -0.03, 0.01, 0.002, 0.4]))
 INTERCEPT = -0.5
 SLOPE, OFFSET = 0.8, -0.1
-# Small settings: every fit still reads all rows.
-FORESTS = {"numTrees": 10, "maxDepth": 5, "positive_weight": "balanced"}
-BOOSTED = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.1}
+# One member of each search grid, with its fewest trees or rounds.
+FORESTS = {"numTrees": 100, "maxDepth": 10, "positive_weight": "balanced"}
+BOOSTED = {"maxIter": 100, "maxDepth": 2, "stepSize": 0.1}
+CANDIDATES = {
+    "Baseline Logistic Regression": train.ModelSpec(*train.BASELINES["Baseline Logistic Regression"]),
+    "Baseline Boosted Trees": train.ModelSpec(*train.BASELINES["Baseline Boosted Trees"]),
+    "Tuned Logistic Regression": train.ModelSpec("logistic", {"C": 0.1, "positive_weight": 5}),
+    "Tuned Histogram Boosting": train.ModelSpec(
+        "boosted",
+        {"maxIter": 200, "stepSize": 0.1, "maxDepth": 5, "maxLeaves": 15, "positive_weight": 20},
+    ),
+    "Tuned Random Forest": train.ModelSpec("forest", FORESTS),
+    "Tuned Gradient Boosting": train.ModelSpec("boosted", BOOSTED),
+    "Tuned Subsampled Boosting": train.ModelSpec(
+        "boosted", {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3, "subsamplingRate": 0.8}
+    ),
+}
+QUICK = ("Baseline Logistic Regression", "Tuned Logistic Regression", "Tuned Random Forest")
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -387,7 +403,9 @@ def _(spark, d):
 
 @query("f08_aggregate_sessions")
 def _(spark, d):
-    return sessions.session_table(star_schema.click_events(spark, d))
+    marked = sessions.add_session_boundaries(star_schema.click_events(spark, d))
+    numbered = sessions.add_session_id(marked)
+    return sessions.aggregate_sessions(numbered)
 
 
 @query("f09_daily_session_stats")
@@ -435,7 +453,7 @@ def _(spark, d):
 
 @query("f15_item_popularity")
 def _(spark, d):
-    return popularity.item_popularity(silver_of(spark, d))
+    return popularity.item_popularity_all(silver_of(spark, d))
 
 
 @query("f16_top_seller_threshold")
@@ -598,6 +616,18 @@ def _(spark, d):
     return explore.build_funnel(counts, "visitors")
 
 
+@query("x11_item_funnel")
+def _(spark, d):
+    counts = explore.item_event_counts(star_schema.click_events(spark, d))
+    return explore.build_funnel(counts, "items")
+
+
+@query("x13_item_conversion_rates")
+def _(spark, d):
+    counts = explore.item_event_counts(star_schema.click_events(spark, d))
+    return explore.compute_conversion_rates(explore.build_funnel(counts, "items"), "items")
+
+
 @query("x12_property_as_of")
 def _(spark, d):
     return catalog.property_as_of(
@@ -791,19 +821,54 @@ def _(spark, d):
     )
 
 
+def inside(p: str) -> Column:
+    """1 where a probability lies in 0 to 1."""
+    return F.coalesce(F.col(p).between(0, 1), F.lit(False)).cast("long").alias("inside")
+
+
 def _validated_scores(spark: SparkSession, d: str, spec: train.ModelSpec) -> DataFrame:
     rows = split_of(spark, d)
     model = train.fit_model(rows.filter(F.col("split") == "train"), spec)
-    return train.score_rows(model, rows.filter(F.col("split") == "validation")).select(
-        *KEY, TARGET, F.col("p").alias("probability")
+    scored = train.score_rows(model, rows.filter(F.col("split") == "validation"))
+    return scored.select(*KEY, TARGET, inside("p"))
+
+
+def score_equations(
+    scored: DataFrame, features: str, weight: Column, penalty: float, slopes: list[float]
+) -> DataFrame:
+    """What a penalised logistic fit leaves of its equations, relative to the weight: the sum
+    of w (p - y) x plus the penalty, zero at the optimum for each term."""
+    x = F.col(features)
+    terms = [(f"slope {k}", x[k], penalty * b) for k, b in enumerate(slopes)]
+    terms.append(("intercept", F.lit(1.0), 0.0))
+    wrong = weight * (F.col("p") - F.col("y"))
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("term"),
+                F.count(F.lit(1)).alias("rows"),
+                F.abs(F.round(F.sum(wrong * value) / F.sum(weight) + shift, 3)).alias("left"),
+            )
+            for name, value, shift in terms
+        ]
     )
+    return scored.agg(rows.alias("rows")).select(F.inline("rows"))
 
 
 @query("m07_logistic_regression")
 def _(spark, d):
-    return _validated_scores(
-        spark, d, train.ModelSpec("logistic", {"C": 1.0, "positive_weight": 12})
+    spec = train.ModelSpec("logistic", {"C": 1.0, "positive_weight": 12})
+    rows = split_of(spark, d).filter(F.col("split") == "train")
+    model = train.fit_model(rows, spec)
+    fitted = model.transform(rows).select(
+        F.col(TARGET).alias("y"),
+        vector_to_array("features").alias("x"),
+        vector_to_array("probability")[1].alias("p"),
     )
+    logistic = model.stages[-1]
+    weight = F.when(F.col("y") == 1, 12.0).otherwise(1.0)
+    slopes = [float(b) for b in logistic.coefficients]
+    return score_equations(fitted, "x", weight, logistic.getRegParam(), slopes)
 
 
 @query("m08_random_forest")
@@ -821,22 +886,35 @@ def _(spark, d):
     return split.expanding_folds(prepared_of(spark, d)).select(*KEY, "fold")
 
 
+def in_order(place: str, score: str, names: str) -> list[Column]:
+    """Whether the score falls with the place, and how many different names there are."""
+    every = Window.partitionBy(F.lit(0))
+    falls = F.coalesce(F.lag(score).over(every.orderBy(place)) >= F.col(score), F.lit(True))
+    return [
+        falls.cast("long").alias("falls"),
+        F.size(F.collect_set(names).over(every)).cast("long").alias("different"),
+    ]
+
+
 @query("m11_randomised_search")
 def _(spark, d):
     folds = folds_of(spark, d)
-    family, _, grid = train.GRIDS["Tuned Logistic Regression"]
-    return train.search_report(folds, train.randomised_search(folds, family, grid, n_iter=2))
+    family, draws, grid = train.GRIDS["Tuned Logistic Regression"]
+    found = train.randomised_search(folds, family, grid, n_iter=draws)
+    # One row per draw.
+    report = train.search_report(folds, found)
+    return report.select("place", "family", *in_order("place", "mean_pr_auc", "params"))
 
 
 @query("m12_compare_models")
 def _(spark, d):
     rows = split_of(spark, d)
-    fitted = rows.filter(F.col("split") == "train")
-    models = {
-        "Logistic Regression": train.fit_model(fitted, train.ModelSpec("logistic")),
-        "Boosted Trees": train.fit_model(fitted, train.ModelSpec("boosted", BOOSTED)),
-    }
-    return train.compare_models(models, rows.filter(F.col("split") == "validation"))
+    models = train.fit_models(rows.filter(F.col("split") == "train"), CANDIDATES)
+    report = train.compare_models(models, rows.filter(F.col("split") == "validation"))
+    # One row per model.
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("pr_auc"), "model"))
+    placed = storage.materialise(report.withColumn("place", place))
+    return placed.select("model", *in_order("place", "pr_auc", "model"))
 
 
 @query("m13_development_set")
@@ -852,7 +930,7 @@ def _oof(spark: SparkSession, d: str) -> DataFrame:
 
 @query("m14_oof_predictions")
 def _(spark, d):
-    return _oof(spark, d).select(*KEY, "fold", TARGET, F.col("p").alias("probability"))
+    return _oof(spark, d).select(*KEY, "fold", TARGET, inside("p"))
 
 
 @query("m15_logit")
@@ -864,10 +942,14 @@ def _(spark, d):
 
 @query("m16_platt_calibrator")
 def _(spark, d):
-    slope, intercept = train.fit_calibrator(_oof(spark, d))
-    return star_schema.scored_labels(spark, d).select(
-        "id", probability.calibrate_probability(F.col("p"), slope, intercept).alias("calibrated")
+    scored = storage.materialise(_oof(spark, d))
+    slope, intercept = train.fit_calibrator(scored)
+    fitted = scored.select(
+        F.col(TARGET).alias("y"),
+        F.array(probability.logit(F.col("p"))).alias("x"),
+        probability.calibrate_probability(F.col("p"), slope, intercept).alias("p"),
     )
+    return score_equations(fitted, "x", F.lit(1.0), 1.0 / scored.count(), [slope])
 
 
 @query("m17_calibrate_probability")
@@ -880,30 +962,24 @@ def _(spark, d):
 
 
 def _scorer(rows: DataFrame) -> score.PurchaseScorer:
-    """Final base model on the development rows with a calibrator from folds."""
-    development = split.development_set(rows).drop("split")
-    spec = train.ModelSpec("logistic")
-    folds = storage.materialise(split.expanding_folds(development))
-    slope, intercept = train.fit_calibrator(train.out_of_fold_scores(folds, spec))
-    return score.PurchaseScorer(train.fit_model(development, spec), slope, intercept)
+    """Scorer of the best of a few candidates."""
+    return training.select_and_refit(rows, {k: CANDIDATES[k] for k in QUICK})[1]
 
 
 @query("m18_final_refit")
 def _(spark, d):
     rows = split_of(spark, d)
-    model = train.fit_model(split.development_set(rows), train.ModelSpec("logistic"))
-    return train.score_rows(model, rows.filter(F.col("split") == "test")).select(
-        *KEY, F.col("p").alias("probability")
-    )
+    scored = _scorer(rows).transform(rows.filter(F.col("split") == "test"))
+    return scored.select(*KEY, inside("raw_probability"))
 
 
 @query("m19_permutation_importance")
 def _(spark, d):
     rows = split_of(spark, d)
     model = train.fit_model(rows.filter(F.col("split") == "train"), train.ModelSpec("logistic"))
-    return train.permutation_importance(
-        model, rows.filter(F.col("split") == "validation"), n_repeats=2
-    )
+    found = train.permutation_importance(model, rows.filter(F.col("split") == "validation"))
+    drop = F.col("importance").between(-1, 1).cast("long")
+    return found.select("feature", drop.alias("inside"))
 
 
 @query("m20_ranked_predictions_fixed")
@@ -916,7 +992,8 @@ def _(spark, d):
 def _(spark, d):
     rows = split_of(spark, d)
     scorer = _scorer(rows)
-    return score.rank_predictions(scorer.transform(rows.filter(F.col("split") == "test")))
+    ranked = score.rank_predictions(scorer.transform(rows.filter(F.col("split") == "test")))
+    return ranked.select(*KEY, inside(score.PROBABILITY))
 
 
 @query("m22_reload_equivalence")
@@ -1008,7 +1085,7 @@ def _(spark, d):
 def _(spark, d):
     scorer = _scorer(split_of(spark, d))
     inference = score.prepare_inference_data(gold.build_gold(silver_of(spark, d)))
-    return score.predict(scorer, inference)
+    return score.predict(scorer, inference).select("visitorid", inside(score.PROBABILITY))
 
 
 @query("p04_write_predictions")
@@ -1023,14 +1100,10 @@ def _(spark, d):
 def _(spark, d):
     base = storage.shared_path(spark, "job")
     star_schema.raw_events(spark, d).write.parquet(f"{base}/raw")
-    batch_job.run_all(
-        spark, f"{base}/raw", base, fixed_score, history_days=HISTORY_DAYS
-    )
+    batch_job.run_all(spark, f"{base}/raw", base, fixed_score)
     return layers.read_layer(spark, f"{base}/predictions")
 
 
 @query("p05_end_to_end_in_memory")
 def _(spark, d):
-    return batch_job.score_raw_events(
-        star_schema.raw_events(spark, d), fixed_score, history_days=HISTORY_DAYS
-    )
+    return batch_job.score_raw_events(star_schema.raw_events(spark, d), fixed_score)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks.catalog import (
+    CANDIDATES,
     FEATURE_DAYS,
     HISTORY_DAYS,
     INTERCEPT,
@@ -10,6 +11,7 @@ from checks.catalog import (
     SLOPE,
     WEIGHTS,
 )
+from clickloom.schemas import LONG_WINDOW_DAYS, MODEL_FEATURES
 
 FEATURES = list(WEIGHTS)
 _COUNTS = FEATURES[:4]
@@ -397,7 +399,7 @@ def _inference_over_window() -> str:
     windowed = PRELUDE.replace(
         "WHERE event IN ('view', 'addtocart', 'transaction'))",
         "WHERE event IN ('view', 'addtocart', 'transaction')\n"
-        f"    AND CAST(event_time AS DATE) >= (SELECT CAST(max(ts) AS DATE) - {HISTORY_DAYS} "
+        f"    AND CAST(event_time AS DATE) >= (SELECT CAST(max(ts) AS DATE) - {LONG_WINDOW_DAYS} "
         "FROM events))",
         1,
     )
@@ -537,8 +539,8 @@ SELECT {_BRONZE}, CAST(sum(CASE WHEN prev IS NULL
 FROM lagged"""
     q["f08_aggregate_sessions"] = f"""
 SELECT visitorid, CAST(session_id AS BIGINT) AS session_id,
-  epoch_us(session_start) AS session_start, epoch_us(session_end) AS session_end, events,
-  transactions, {_r('whole_min', 'session_duration_min')} FROM sess"""
+  epoch_us(session_start) AS session_start, epoch_us(session_end) AS session_end,
+  {_r('whole_min', 'session_duration_min')} FROM sess"""
     q["f09_daily_session_stats"] = f"""
 SELECT {_KEY}, {_r('exact_min', 'total_duration')}, sessions FROM sdaily"""
     q["f10_aligned_session_stats"] = f"""
@@ -553,13 +555,18 @@ FROM snaps n LEFT JOIN sdaily z
     q["f13_item_daily_transactions"] = "SELECT * FROM sold"
     q["f14_item_day_grid"] = "SELECT * FROM grid"
     q["f15_item_popularity"] = """
-SELECT itemid, snapshot_day, p AS item_transactions_30d FROM pop WHERE p > 0"""
+SELECT itemid, snapshot_day, p AS item_transactions_30d, CAST(1 AS BIGINT) AS items
+FROM pop WHERE p > 0 UNION ALL
+SELECT NULL, snapshot_day, 0, count(*) FILTER (p = 0) FROM pop GROUP BY snapshot_day"""
     q["f16_top_seller_threshold"] = "SELECT snapshot_day, t_disc AS top_10_threshold FROM thr"
     q["f16_top_seller_threshold_linear"] = f"""
 SELECT snapshot_day, {_r('t_lin', 'top_10_threshold')} FROM thr"""
     q["f17_top_sellers"] = """
-SELECT itemid, snapshot_day, p AS item_transactions_30d, t_disc AS top_10_threshold,
-  CAST(top_disc AS BIGINT) AS is_top_seller FROM flags WHERE p > 0"""
+SELECT itemid, snapshot_day, CAST(1 AS BIGINT) AS items, p AS item_transactions_30d,
+  t_disc AS top_10_threshold, CAST(top_disc AS BIGINT) AS is_top_seller FROM flags WHERE p > 0
+UNION ALL
+SELECT NULL, snapshot_day, count(*) FILTER (p = 0), 0, max(t_disc),
+  CAST(0 >= max(t_disc) AS BIGINT) FROM flags GROUP BY snapshot_day"""
     q["f18_cart_events"] = """
 SELECT visitorid, itemid, snapshot_day, p AS item_transactions_30d,
   CAST(top_disc AS BIGINT) AS is_top_seller FROM carts"""
@@ -629,6 +636,7 @@ SELECT CAST(isodow(event_time) - 1 AS BIGINT) AS weekday_no, dayname(event_time)
     q["x10_hourly_events"] = f"""
 SELECT CAST(hour(event_time) AS BIGINT) AS "hour", {pivot} FROM clean GROUP BY 1"""
     q["x11_visitor_funnel"] = _FUNNEL
+    q["x11_item_funnel"] = _FUNNEL.replace("visitors", "items").replace("FROM vis", "FROM itm")
     q["x12_property_as_of"] = """
 SELECT itemid, property, timestamp, value FROM (
   SELECT *, row_number() OVER (PARTITION BY itemid, property
@@ -640,6 +648,7 @@ SELECT transition, round(part * 100.0::DOUBLE / whole, 6) AS conversion_rate FRO
     count(*) FILTER (transaction > 0) AS t FROM vis) c,
 LATERAL (VALUES ('View → Add to Cart', a, v), ('Add to Cart → Transaction', t, a),
   ('View → Transaction', t, v)) r(transition, part, whole)"""
+    q["x13_item_conversion_rates"] = q["x13_conversion_rates"].replace("FROM vis", "FROM itm")
     q["x14_session_summary"] = f"""
 SELECT visitorid, CAST(session_id AS BIGINT) AS session_id, epoch_us(session_start) AS start,
   epoch_us(session_end) AS "end", events, transactions, {_r('exact_min', 'duration_minutes')},
@@ -731,6 +740,37 @@ FROM (SELECT *, row_number() OVER (ORDER BY snapshot_day, visitorid) AS i,
     q["m13_development_set"] = f"""
 SELECT {_KEY}, {_n('purchase_next_7d', 'purchase_next_7d')} FROM parts
 WHERE split IN ('train', 'validation')"""
+    terms = ", ".join(f"('slope {k}')" for k in range(len(MODEL_FEATURES)))
+    q["m07_logistic_regression"] = f"""
+SELECT term, (SELECT count(*) FROM parts WHERE split = 'train') AS "rows", 0.0::DOUBLE AS "left"
+FROM (VALUES {terms}, ('intercept')) t(term)"""
+    q["m08_random_forest"] = q["m09_boosted_trees"] = f"""
+SELECT {_KEY}, {_n('purchase_next_7d', 'purchase_next_7d')}, CAST(1 AS BIGINT) AS inside
+FROM parts WHERE split = 'validation'"""
+    q["m11_randomised_search"] = """
+SELECT i AS place, 'logistic' AS family, CAST(1 AS BIGINT) AS falls, CAST(15 AS BIGINT) AS different
+FROM range(1, 16) r(i)"""
+    names = ", ".join(f"('{name}')" for name in CANDIDATES)
+    q["m12_compare_models"] = f"""
+SELECT model, CAST(1 AS BIGINT) AS falls, CAST({len(CANDIDATES)} AS BIGINT) AS different
+FROM (VALUES {names}) t(model)"""
+    developed = """(SELECT *, CAST(greatest(3 - (n - i) // (n // 4), 0) AS BIGINT) AS fold
+  FROM (SELECT *, row_number() OVER (ORDER BY snapshot_day, visitorid) AS i,
+          count(*) OVER () AS n FROM parts WHERE split IN ('train', 'validation')))"""
+    q["m14_oof_predictions"] = f"""
+SELECT {_KEY}, fold, {_n('purchase_next_7d', 'purchase_next_7d')}, CAST(1 AS BIGINT) AS inside
+FROM {developed} WHERE fold > 0"""
+    q["m16_platt_calibrator"] = f"""
+SELECT term, (SELECT count(*) FROM {developed} WHERE fold > 0) AS "rows", 0.0::DOUBLE AS "left"
+FROM (VALUES ('slope 0'), ('intercept')) t(term)"""
+    q["m18_final_refit"] = q["m21_composite_scorer"] = f"""
+SELECT {_KEY}, CAST(1 AS BIGINT) AS inside FROM parts WHERE split = 'test'"""
+    features = ", ".join(f"('{name}')" for name in MODEL_FEATURES)
+    q["m19_permutation_importance"] = f"""
+SELECT feature, CAST(1 AS BIGINT) AS inside FROM (VALUES {features}) t(feature)"""
+    q["m22_reload_equivalence"] = """
+SELECT count(*) AS "rows", 0.0::DOUBLE AS max_difference, CAST(1 AS BIGINT) AS all_close
+FROM parts WHERE split = 'test'"""
     q["m15_logit"] = f"SELECT id, y, {_r('p', 'p')}, {_r(_logit('p'), 'logit')} FROM fine"
     q["m17_calibrate_probability"] = f"""
 SELECT id, {_r('p', 'p')}, {_r(_calibrated('p'), 'calibrated')} FROM fine"""
@@ -781,6 +821,7 @@ WHERE snapshot_day = (SELECT max(snapshot_day) FROM gold)
   AND user_views_7d + user_addtocart_7d + user_transactions_30d >= 5"""
     q["p01_prepare_inference_data"] = f"SELECT {_GOLD_KEYLESS} FROM gold {inference}"
     q["p02_fix_types"] = f"SELECT {_GOLD} FROM gold"
+    q["p03_predict_trained"] = f"SELECT visitorid, CAST(1 AS BIGINT) AS inside FROM gold {inference}"
     q["p03_predict_fixed"] = q["p04_write_predictions"] = _prediction_window("gold")
     return q
 

@@ -13,11 +13,11 @@ def right_closed_bin(value: Column, edges: Sequence[float], labels: Sequence[str
     """Label of the interval (edge, next edge] holding the value.
 
     The first interval also takes its left edge. Values outside all intervals,
-    and nulls, give null.
+    nulls and NaN give null.
     """
     if len(labels) != len(edges) - 1:
         raise ValueError("one label per interval is needed")
-    inside = value >= F.lit(float(edges[0]))
+    inside = (value >= F.lit(float(edges[0]))) & ~F.isnan(value.cast("double"))
     chain = None
     for upper, label in zip(edges[1:], labels):
         test = inside if math.isinf(upper) else inside & (value <= F.lit(float(upper)))

@@ -2,37 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a temporary folder of its own.
+    ``spark.checkpoint.dir`` names it. Without that setting it is a folder in the
+    warehouse, which is shared too.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(named)
-        return named
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the executors")
-    own = tempfile.mkdtemp(prefix="clickloom-")
-    context.setCheckpointDir(own)
-    return own
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_steps"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path for one new table under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -46,3 +44,20 @@ def materialise(df: DataFrame) -> DataFrame:
     path = shared_path(spark, "step")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was stored inside.
+
+    A result has to be read or written before the scope ends.
+    """
+    first = len(_made)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        configuration = spark.sparkContext._jsc.hadoopConfiguration()
+        while len(_made) > first:
+            path = hadoop.Path(_made.pop())
+            path.getFileSystem(configuration).delete(path, True)

@@ -69,9 +69,12 @@ def build_category_depth(tree: DataFrame) -> DataFrame:
     Every round doubles the distance a pointer spans, so a tree of depth d needs
     about log2(d) rounds. A walk without a cycle is shorter than the number of
     categories, so pointers still open after log2 of that number are on a cycle.
+    Finished categories leave the walk: only open pointers are joined. A category
+    listed twice is an error.
     """
-    nodes = tree.select(
-        "categoryid", F.coalesce(F.col("parentid"), F.lit(ROOT_PARENT)).alias("parentid")
+    nodes = tree.groupBy("categoryid").agg(
+        F.coalesce(F.max("parentid"), F.lit(ROOT_PARENT)).alias("parentid"),
+        F.count(F.lit(1)).alias("rows"),
     )
     has_parent = F.col("parentid") != ROOT_PARENT
     # ``up``: the ancestor reached so far, null when the walk has ended.
@@ -80,32 +83,39 @@ def build_category_depth(tree: DataFrame) -> DataFrame:
             "categoryid",
             F.when(has_parent, F.col("parentid")).alias("up"),
             has_parent.cast("long").alias("depth"),
+            "rows",
         )
     )
-    categories = walk.count()
+    categories, most = walk.agg(F.count(F.lit(1)), F.max("rows")).first()
+    if (most or 0) > 1:
+        raise ValueError("a category is listed more than once in the tree")
+    walk = walk.drop("rows")
+    done, still_open = walk.filter("up IS NULL"), walk.filter("up IS NOT NULL")
     for _ in range(categories.bit_length() + 1):
-        if _nothing_ends(walk):
+        every = done.unionByName(still_open)
+        if _nothing_ends(still_open):
             break
-        step = walk.select(
+        step = every.select(
             F.col("categoryid").alias("up"),
             F.col("up").alias("_next"),
             F.col("depth").alias("_more"),
         )
-        walk = materialise(
-            walk.join(step, "up", "left").select(
+        moved = materialise(
+            still_open.join(step, "up", "left").select(
                 "categoryid",
                 F.col("_next").alias("up"),
                 (F.col("depth") + F.coalesce("_more", F.lit(0))).alias("depth"),
             )
         )
-    return walk.select(
+        done = done.unionByName(moved.filter("up IS NULL"))
+        still_open = moved.filter("up IS NOT NULL")
+    return done.unionByName(still_open).select(
         "categoryid", F.when(F.col("up").isNull(), F.col("depth")).cast("int").alias("depth")
     )
 
 
-def _nothing_ends(walk: DataFrame) -> bool:
+def _nothing_ends(still_open: DataFrame) -> bool:
     """Whether no open pointer leads to a finished or unknown node."""
-    still_open = walk.filter(F.col("up").isNotNull())
     ahead = still_open.select(F.col("categoryid").alias("up"))
     return still_open.join(ahead, "up", "left_anti").isEmpty()
 

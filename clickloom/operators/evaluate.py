@@ -14,18 +14,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import exact_quantiles, quantile_label, running_totals
+from ..functions.storage import materialise
 
 # Reported thresholds and shares.
 THRESHOLDS = [0.01, 0.05, 0.10, 0.20, 0.30, 0.40, 0.50, 0.60, 0.70, 0.80, 0.90]
 TOP_SHARES = [0.001, 0.005, 0.01, 0.02, 0.05, 0.10]
 
 
+def judged(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
+    """Rows with a label and a score that is a number; no metric counts the others."""
+    known = F.col(label).isNotNull() & F.col(score).isNotNull()
+    return scored.filter(known & ~F.isnan(F.col(score).cast("double")))
+
+
 def score_counts(
     scored: DataFrame, label: str = "y", score: str = "p", group: Sequence[str] = ()
 ) -> DataFrame:
     """Positives and negatives per distinct score."""
     y = F.col(label).cast("long")
-    return scored.groupBy(*group, F.col(score).cast("double").alias("score")).agg(
+    rows = judged(scored, label, score)
+    return rows.groupBy(*group, F.col(score).cast("double").alias("score")).agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")
     )
 
@@ -91,7 +99,7 @@ def threshold_analysis(
                 zero_if_undefined(predicted, F.count(F.lit(1))).alias("predicted_positive_rate"),
             )
         )
-    return scored.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+    return judged(scored, label, score).agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def ranking_analysis(
@@ -103,25 +111,36 @@ def ranking_analysis(
 ) -> DataFrame:
     """Precision, recall and lift among the best-scored share of rows.
 
-    Equal scores are ordered by id. Lift is null when there is no positive.
+    Equal scores are ordered by id. Lift is null when there is no positive. The cuts
+    are found on distinct scores; only rows whose score lies on a cut are put in
+    order.
     """
-    ranked = running_totals(
-        scored.select(id_col, F.col(label).cast("long").alias("_y"), F.col(score).alias("_p")),
-        order=[F.desc("_p"), F.asc(id_col)],
-        sums={"hits": F.col("_y")},
-        rank="rank",
-        totals=True,
-    )
+    curve = score_curve(scored, label, score).withColumn("rank_total", F.col("tp_total") + F.col("fp_total"))
     size = {k: F.greatest(F.ceil(F.col("rank_total") * F.lit(float(k))), F.lit(1)) for k in shares}
-    # A plain comparison per share keeps the scan of all rows in generated code.
-    at_any_cut = reduce(lambda a, b: a | b, [F.col("rank") == n for n in size.values()])
     cuts = F.array(
         *[F.struct(F.lit(float(k)).alias("top_k"), n.alias("n_users")) for k, n in size.items()]
     )
-    at_cut = (
-        ranked.filter(at_any_cut)
-        .select("rank", "hits", "hits_total", "rank_total", F.inline(cuts))
-        .filter(F.col("rank") == F.col("n_users"))
+    upto = F.col("tp") + F.col("fp")
+    before = upto - F.col("pos") - F.col("neg")
+    at_score = materialise(  # one row per share
+        curve.select("*", F.inline(cuts))
+        .filter((before < F.col("n_users")) & (F.col("n_users") <= upto))
+        .select(
+            "top_k", "n_users", "score", "rank_total", F.col("tp_total").alias("hits_total"),
+            (F.col("tp") - F.col("pos")).alias("hits_before"),
+            (F.col("n_users") - before).alias("rank"),
+        )
+    )
+    rows = judged(scored, label, score).select(
+        id_col, F.col(label).cast("long").alias("_y"), F.col(score).cast("double").alias("score")
+    )
+    # The hint is safe: there are at most as many scores as shares.
+    tied = rows.join(F.broadcast(at_score.select("score").distinct()), "score", "left_semi")
+    ranked = running_totals(
+        tied, order=[F.asc(id_col)], sums={"hits": F.col("_y")}, group=["score"], rank="rank"
+    ).select("score", "rank", F.col("hits").alias("hits_within"))
+    at_cut = at_score.join(ranked, ["score", "rank"]).withColumn(
+        "hits", F.col("hits_before") + F.col("hits_within")
     )
     precision = F.col("hits") / F.col("n_users")
     report = at_cut.select(

@@ -28,6 +28,20 @@ ITEM_KEY = ["itemid", "snapshot_day"]
 Method = Literal["disc", "linear"]
 
 
+def item_day_counts(silver: DataFrame) -> DataFrame:
+    """Sales and cart additions per item and day with any event.
+
+    All that depends on items and days only follows from this table, which is far smaller
+    than silver. The functions below take silver or the stored counts.
+    """
+    if "sold" in silver.columns:
+        return silver
+    return silver.groupBy(*ITEM_KEY).agg(
+        F.count_if(F.col("event") == TRANSACTION).alias("sold"),
+        F.count_if(F.col("event") == ADD_TO_CART).alias("carted"),
+    )
+
+
 def item_daily_transactions(silver: DataFrame) -> DataFrame:
     """Transactions per item and day."""
     sold = silver.filter(F.col("event") == TRANSACTION)
@@ -53,11 +67,14 @@ def popularity_spans(silver: DataFrame, window_days: int = LONG_WINDOW_DAYS) ->
     """Spans ``[from_day, to_day)`` in which an item's popularity is constant and
     above zero."""
     changes = (
-        "inline(array(struct(snapshot_day + 1 AS from_day, 1L AS change), "
-        f"struct(snapshot_day + {window_days + 1} AS from_day, -1L AS change)))"
+        "inline(array(struct(snapshot_day + 1 AS from_day, sold AS change), "
+        f"struct(snapshot_day + {window_days + 1} AS from_day, -sold AS change)))"
     )
+    if "event" in silver.columns:  # without stored counts: views are not read here
+        silver = silver.filter(F.col("event") == TRANSACTION)
     steps = (
-        silver.filter(F.col("event") == TRANSACTION)
+        item_day_counts(silver)
+        .filter("sold > 0")
         .selectExpr("itemid", changes)
         .groupBy("itemid", "from_day")
         .agg(F.sum("change").alias("change"))
@@ -148,23 +165,48 @@ def top_seller_threshold(
 
 
 def _with_flag(popularity: DataFrame, thresholds: DataFrame) -> DataFrame:
-    # One threshold row per calendar day: its size depends on the time span of
-    # the data only, never on the number of events, visitors or items.
-    joined = popularity.join(F.broadcast(thresholds), "snapshot_day", "left").fillna(
+    # One threshold row per calendar day; adaptive execution broadcasts it if it is small.
+    joined = popularity.join(thresholds, "snapshot_day", "left").fillna(
         0.0, ["top_10_threshold"]
     )
     top = F.col("item_transactions_30d") >= F.col("top_10_threshold")
     return joined.withColumn("is_top_seller", top.cast("int"))
 
 
+def _with_zeros(silver: DataFrame, popular: DataFrame) -> DataFrame:
+    """One more row per day of the data, for all items of zero popularity together.
+
+    ``items`` is 1 on an item's own row; on the other row ``itemid`` is null and
+    ``items`` is their number, 0 included.
+    """
+    counted = popular.groupBy("snapshot_day").agg(F.count(F.lit(1)).alias("popular"))
+    zeros = (
+        silver_days(silver)
+        .join(counted, "snapshot_day", "left")
+        .withColumn("all", silver_totals(silver)["items"])
+        .select(
+            F.lit(None).cast(popular.schema["itemid"].dataType).alias("itemid"),
+            "snapshot_day",
+            F.lit(0).cast("long").alias("item_transactions_30d"),
+            (F.col("all") - F.coalesce("popular", F.lit(0))).alias("items"),
+        )
+    )
+    return popular.withColumn("items", F.lit(1).cast("long")).unionByName(zeros)
+
+
+def item_popularity_all(silver: DataFrame, window_days: int = LONG_WINDOW_DAYS) -> DataFrame:
+    """Popularity of every item on every day, those of zero as one row per day."""
+    return _with_zeros(silver, item_popularity(silver, window_days))
+
+
 def top_sellers(
     silver: DataFrame, quantile: float = TOP_SELLER_QUANTILE, method: Method = "disc"
 ) -> DataFrame:
-    """Popularity, threshold and flag per item and day, without the items of zero
-    popularity. Those are top sellers exactly on days whose threshold is zero."""
+    """Popularity, threshold and flag per item and day; items of zero popularity, which are
+    top sellers exactly on days whose threshold is zero, share one row per day."""
     return _with_flag(
-        item_popularity(silver), _thresholds_above_zero(silver, quantile, method)
-    ).select(*ITEM_KEY, "item_transactions_30d", "top_10_threshold", "is_top_seller")
+        item_popularity_all(silver), _thresholds_above_zero(silver, quantile, method)
+    ).select(*ITEM_KEY, "items", "item_transactions_30d", "top_10_threshold", "is_top_seller")
 
 
 def cart_day_popularity(
@@ -175,14 +217,10 @@ def cart_day_popularity(
     Sales and cart additions are counted per item and day first, so the rolling
     sum sees at most one row per calendar day of an item.
     """
-    daily = (
-        silver.filter(F.col("event").isin(ADD_TO_CART, TRANSACTION))
-        .groupBy(*ITEM_KEY)
-        .agg(
-            F.count_if(F.col("event") == TRANSACTION).alias("sold"),
-            F.count_if(F.col("event") == ADD_TO_CART).alias("carted"),
-        )
-    )
+    if "event" in silver.columns:  # without stored counts: views are not read here
+        daily = item_day_counts(silver.filter(F.col("event").isin(ADD_TO_CART, TRANSACTION)))
+    else:
+        daily = silver
     rolled = F.sum("sold").over(days_before(LONG_WINDOW_DAYS, 1, by="itemid"))
     popularity = daily.select(
         *ITEM_KEY, "carted", F.coalesce(rolled, F.lit(0)).alias("item_transactions_30d")
@@ -205,19 +243,23 @@ def cart_events_with_popularity(
 
 
 def visitor_cart_totals(
-    silver: DataFrame, quantile: float = TOP_SELLER_QUANTILE, method: Method = "disc"
+    silver: DataFrame,
+    quantile: float = TOP_SELLER_QUANTILE,
+    method: Method = "disc",
+    item_days: DataFrame | None = None,
 ) -> DataFrame:
     """Popularity sum, cart count and top-seller count per visitor-day with carts.
 
     Repeated additions of an item are counted before the join, and the other
-    side has one row per item-day.
+    side has one row per item-day. ``item_days``: stored counts, if there are any.
     """
+    source = silver if item_days is None else item_days
     carts = (
         silver.filter(F.col("event") == ADD_TO_CART)
         .groupBy("visitorid", *ITEM_KEY)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    joined = carts.join(cart_day_popularity(silver, quantile, method), ITEM_KEY, "left")
+    joined = carts.join(cart_day_popularity(source, quantile, method), ITEM_KEY, "left")
     n = F.col("n")
     return joined.groupBy(*KEY).agg(
         F.sum(n * F.col("item_transactions_30d")).alias("cart_item_popularity_sum"),

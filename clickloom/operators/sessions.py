@@ -119,10 +119,13 @@ def add_session_boundaries(
     """Add the previous event time, the gap and the new-session flag to events.
 
     The ordered step runs inside one-minute pieces of a visitor's history; the
-    first event of a piece looks at the last event of the piece before it.
+    first event of a piece looks at the last event of the piece before it. Events
+    of one time are ordered by type, item and transaction, so the flag does not
+    depend on how the rows arrive.
     """
+    ties = [c for c in ("event", "itemid", "transactionid") if c in events.columns]
     pieces = events.withColumn(_PIECE, _slot(ts_col, 1))
-    inside = Window.partitionBy(visitor_col, _PIECE).orderBy(ts_col)
+    inside = Window.partitionBy(visitor_col, _PIECE).orderBy(ts_col, *ties)
     across = Window.partitionBy(visitor_col).orderBy(_PIECE)
     last_before = (
         pieces.groupBy(visitor_col, _PIECE)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,15 +85,12 @@ def features_and_label(df: DataFrame, label: str = TARGET) -> DataFrame:
     return df.select(*keep, *MODEL_FEATURES, F.col(label).cast("int").alias(label))
 
 
-def assemble(df: DataFrame, out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=MODEL_FEATURES, outputCol=out).transform(df)
-
-
 def expanding_folds(df: DataFrame, n_splits: int = 3) -> DataFrame:
     """Number rows 0 to n_splits in date order.
 
     Rows of fold f > 0 are validated by a model fitted on all smaller folds. Every
-    fold above zero has n // (n_splits + 1) rows; the rest is fold 0.
+    fold above zero has n // (n_splits + 1) rows; the rest is fold 0. With fewer than
+    n_splits + 1 rows there is no such division, and the query fails.
     """
     ranked = running_totals(
         df,
@@ -103,7 +99,11 @@ def expanding_folds(df: DataFrame, n_splits: int = 3) -> DataFrame:
         rank="_rank",
         totals=True,
     )
-    size = F.floor(F.col("_rank_total") / (n_splits + 1))
+    enough = F.col("_rank_total") > n_splits
+    too_few = F.raise_error(F.lit(f"{n_splits} folds need at least {n_splits + 1} rows"))
+    size = F.when(enough, F.floor(F.col("_rank_total") / (n_splits + 1))).otherwise(
+        too_few.cast("long")
+    )
     from_end = F.floor((F.col("_rank_total") - F.col("_rank")) / size)
     fold = F.greatest(F.lit(n_splits) - from_end, F.lit(0)).cast("int")
     return ranked.withColumn("fold", fold).drop("_rank", "_rank_total")

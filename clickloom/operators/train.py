@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import product
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -29,13 +31,15 @@ WEIGHT = "_weight"
 SEED = 42
 
 # Baseline parameters and search grids. Parameters of the original
-# solvers without a Spark counterpart are left out; None depth is Spark's limit.
+# solvers without a Spark counterpart are left out. A leaf limit becomes the depth of
+# a full tree with so many leaves, the nearest parameter there is. A forest without a
+# limit takes the deepest tree that Spark grows.
 MAX_DEPTH = 30
 BASELINES: dict[str, tuple[str, dict[str, Any]]] = {
     "Baseline Logistic Regression": ("logistic", {"C": 1.0, "positive_weight": 12}),
     "Baseline Boosted Trees": (
         "boosted",
-        {"maxIter": 350, "stepSize": 0.04, "maxDepth": 18, "positive_weight": 12},
+        {"maxIter": 350, "stepSize": 0.04, "maxDepth": 18, "maxLeaves": 127, "positive_weight": 12},
     ),
 }
 GRIDS: dict[str, tuple[str, int, dict[str, list[Any]]]] = {
@@ -50,6 +54,7 @@ GRIDS: dict[str, tuple[str, int, dict[str, list[Any]]]] = {
         {
             "stepSize": [0.02, 0.04, 0.06, 0.1],
             "maxIter": [200, 350, 500],
+            "maxLeaves": [15, 31, 63, 127],
             "maxDepth": [5, 10, 15, None],
             "minInstancesPerNode": [10, 20, 50, 100],
             "positive_weight": [20, 50, 100],
@@ -60,10 +65,10 @@ GRIDS: dict[str, tuple[str, int, dict[str, list[Any]]]] = {
         15,
         {
             "numTrees": [100, 200, 300],
-            "maxDepth": [None, 10, 20, 30],
+            "maxDepth": [10, 20, MAX_DEPTH],
             "minInstancesPerNode": [1, 2, 5, 10],
             "featureSubsetStrategy": ["sqrt", "log2", "0.5"],
-            "positive_weight": [None, "balanced"],
+            "positive_weight": [None, "balanced", "balanced_subsample"],
         },
     ),
     "Tuned Gradient Boosting": (
@@ -136,11 +141,12 @@ def class_weights(
 ) -> tuple[float, float]:
     """Weight of a negative and of a positive row.
 
-    ``"balanced"`` gives both classes half of the total weight.
+    ``"balanced"`` gives both classes half of the total weight. ``"balanced_subsample"``
+    does the same: trees are weighted by the whole sample, not by their own draw.
     """
     if positive_weight is None:
         return 1.0, 1.0
-    if positive_weight == "balanced":
+    if positive_weight in ("balanced", "balanced_subsample"):
         neg, pos = class_counts(df, label)
         total = neg + pos
         return total / (2.0 * max(neg, 1)), total / (2.0 * max(pos, 1))
@@ -154,12 +160,25 @@ def add_class_weight(
     return df.withColumn(WEIGHT, F.when(F.col(label) == 1, positive).otherwise(negative))
 
 
+def tree_depth(params: Mapping[str, Any]) -> int | None:
+    """Depth for ``maxDepth`` and ``maxLeaves``; an error if Spark cannot grow such trees."""
+    depth, leaves = params.get("maxDepth"), params.get("maxLeaves")
+    if leaves is not None:
+        full = math.ceil(math.log2(leaves))
+        depth = full if depth is None else min(depth, full)
+    elif depth is None and "maxDepth" in params:
+        raise ValueError(f"a tree without a limit needs a depth of at most {MAX_DEPTH}")
+    if depth is not None and depth > MAX_DEPTH:
+        raise ValueError(f"depth {depth} is more than {MAX_DEPTH}")
+    return depth
+
+
 def _estimator(spec: ModelSpec, label: str, weight_sum: float) -> Pipeline:
-    params = {
-        k: (MAX_DEPTH if k == "maxDepth" and v is None else v)
-        for k, v in spec.params.items()
-        if k not in ("positive_weight", "C")
-    }
+    own = ("positive_weight", "C", "maxDepth", "maxLeaves")
+    params = {k: v for k, v in spec.params.items() if k not in own}
+    depth = tree_depth(spec.params)
+    if depth is not None:
+        params["maxDepth"] = depth
     common = {"labelCol": label, "weightCol": WEIGHT}
     if spec.family == "logistic":
         return Pipeline(
@@ -199,6 +218,16 @@ def fit_model(train: DataFrame, spec: ModelSpec, label: str = TARGET) -> Pipelin
     return _estimator(spec, label, weight_sum).fit(weighted)
 
 
+def fit_models(
+    train: DataFrame, specs: Mapping[str, ModelSpec], parallelism: int = 4, label: str = TARGET
+) -> dict[str, PipelineModel]:
+    """Fit independent models, ``parallelism`` at a time; the rows are read once into a table."""
+    rows = materialise(train)
+    with ThreadPool(max(1, min(parallelism, len(specs)))) as pool:
+        fitted = pool.map(lambda spec: fit_model(rows, spec, label), list(specs.values()))
+    return dict(zip(specs, fitted))
+
+
 def score_rows(model: PipelineModel, df: DataFrame, out: str = "p") -> DataFrame:
     """Add the probability of the positive class; all input columns stay."""
     scored = model.transform(df)
@@ -234,16 +263,28 @@ def randomised_search(
     n_splits: int = 3,
     label: str = TARGET,
     seed: int = SEED,
+    parallelism: int = 4,
 ) -> list[tuple[ModelSpec, float]]:
-    """Mean average precision over the expanding folds, best first."""
+    """Mean average precision over the expanding folds, best first.
+
+    Draws are fitted ``parallelism`` at a time; the scores of all draws are ranked in one
+    pass, grouped by draw and fold.
+    """
     rows = materialise(folds)
-    results = []
-    for params in sample_params(grid, n_iter, seed):
-        spec = ModelSpec(family, params)
-        scored = out_of_fold_scores(rows, spec, n_splits, label)
-        per_fold = evaluate_model(scored, label=label, group=["fold"])
-        mean = per_fold.agg(F.avg("pr_auc")).first()[0]
-        results.append((spec, 0.0 if mean is None else float(mean)))
+    specs = [ModelSpec(family, params) for params in sample_params(grid, n_iter, seed)]
+
+    def scores(draw: int) -> DataFrame:
+        scored = out_of_fold_scores(rows, specs[draw], n_splits, label)
+        return scored.select(F.lit(draw).alias("draw"), "fold", F.col(label).alias("y"), "p")
+
+    with ThreadPool(max(1, min(parallelism, len(specs)))) as pool:
+        every = union_all(pool.map(scores, range(len(specs))))
+    per_fold = evaluate_model(every, group=["draw", "fold"])
+    means = {
+        r["draw"]: r["mean"]  # one row per draw
+        for r in per_fold.groupBy("draw").agg(F.avg("pr_auc").alias("mean")).collect()
+    }
+    results = [(spec, float(means.get(k) or 0.0)) for k, spec in enumerate(specs)]
     return sorted(results, key=lambda r: -r[1])
 
 
@@ -285,14 +326,15 @@ def fit_calibrator(
     return float(model.coefficients[0]), float(model.intercept)
 
 
-def _shuffled_features(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
+def _shuffled_features(
+    by_key: DataFrame, df: DataFrame, keys: Sequence[str], seed: int
+) -> DataFrame:
     """The rows with a second set of features taken from a random other row.
 
-    Both sides are numbered, one by key and one by a seeded hash of the key, and
-    joined on the number.
+    ``by_key`` has the rows numbered by key; the others are numbered by a seeded hash of
+    the key, and both are joined on the number.
     """
     key_order = [F.asc(k) for k in keys]
-    by_key = running_totals(df, order=key_order, sums={}, rank="_n")
     by_hash = running_totals(
         df.select(*keys, *MODEL_FEATURES).withColumn("_h", F.xxhash64(*keys, F.lit(seed))),
         order=[F.asc("_h"), *key_order],
@@ -317,8 +359,9 @@ def permutation_importance(
     """
     base = df.select(*keys, label, *MODEL_FEATURES)
     parts = []
+    by_key = materialise(running_totals(base, order=[F.asc(k) for k in keys], sums={}, rank="_n"))
     for repeat in range(n_repeats):
-        both = _shuffled_features(base, keys, seed + repeat)
+        both = _shuffled_features(by_key, base, keys, seed + repeat)
         variants = [
             F.struct(
                 F.lit(shuffled).alias("feature"),

@@ -51,7 +51,7 @@ def run_validation(
 
 def run_features(spark: SparkSession, silver_path: str, gold_path: str, **options) -> int:
     silver = add_snapshot_day(read_silver(spark, silver_path))
-    return write_gold(build_gold(silver, **options), gold_path)
+    return write_gold(build_gold(silver, **options), gold_path, by_day=True)
 
 
 def run_scoring(

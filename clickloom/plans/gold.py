@@ -1,8 +1,9 @@
 """Gold: all features of every visitor-day in one linear plan.
 
-Silver is collapsed to activity slots (one shuffle with a combine before it),
-the cart totals are laid beside them, and a single shuffle by visitor then
-carries sessions, daily sums and both rolling windows without another exchange.
+Silver is read three times: for its counts per item and day, which are stored and
+answer all that depends on items and days only, for activity slots (one shuffle with
+a combine before it), and for carts. A single shuffle by visitor then carries
+sessions, daily sums, both rolling windows and the label without another exchange.
 """
 
 from __future__ import annotations
@@ -10,12 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.storage import materialise
 from ..functions.timeline import MICROS_PER_MINUTE, MICROS_PER_SECOND, epoch_micros
 from ..operators.behavior import build_user_behavior
-from ..operators.popularity import Method, build_item_popularity_features, visitor_cart_totals
+from ..operators.popularity import (
+    Method,
+    build_item_popularity_features,
+    item_day_counts,
+    visitor_cart_totals,
+)
 from ..operators.sessions import activity_slots, build_session_features
 from ..operators.snapshots import KEY, require_rows, silver_totals
-from ..operators.target import create_purchase_target, daily_purchases
 from ..schemas import (
     LONG_WINDOW_DAYS,
     MODEL_FEATURES,
@@ -43,18 +49,22 @@ def build_gold(
     timeout_minutes: float = SESSION_TIMEOUT_MINUTES,
     whole_seconds: bool = True,
     inference_day: bool = True,
+    label_days: int | None = None,
 ) -> DataFrame:
     """Features per visitor-day of silver that carries ``snapshot_day``.
 
-    With ``inference_day`` every visitor also gets the day after the last one.
+    With ``inference_day`` every visitor also gets the day after the last one. With
+    ``label_days`` the label ``purchase_next_<n>d`` is added: 1 if a purchase falls on day D
+    to D + n - 1.
     """
-    require_rows(silver)
+    item_days = materialise(item_day_counts(silver))
+    require_rows(item_days)
     slots = activity_slots(silver, timeout_minutes).selectExpr(
         "visitorid", "day AS snapshot_day", "0 AS kind", "first_time", "last_time",
         "views", "addtocarts", "transactions", "0L AS popularity", "0L AS top_sellers",
     )
     time_type = silver.schema["event_time"].dataType.simpleString()
-    carts = visitor_cart_totals(silver, quantile, method).selectExpr(
+    carts = visitor_cart_totals(silver, quantile, method, item_days).selectExpr(
         "visitorid", "snapshot_day", "1 AS kind",
         f"CAST(NULL AS {time_type}) AS first_time", f"CAST(NULL AS {time_type}) AS last_time",
         "0L AS views", "0L AS addtocarts", "0L AS transactions",
@@ -69,7 +79,7 @@ def build_gold(
         *[F.sum(c).alias(c) for c in _DAILY], F.bool_or("is_last").alias("is_last")
     )
     if inference_day:
-        daily = _with_inference_day(daily, silver)
+        daily = _with_inference_day(daily, item_days)
 
     short, long = _frame(SHORT_WINDOW_DAYS), _frame(LONG_WINDOW_DAYS)
     rolled = daily.selectExpr(
@@ -81,6 +91,7 @@ def build_gold(
         f"sum(duration) {long} AS duration",
         f"sum(popularity) {short} AS popularity",
         f"sum(top_sellers) {short} AS top_sellers",
+        *_label(label_days),
     )
     per_minute = 60 * MICROS_PER_SECOND // unit
     return rolled.selectExpr(
@@ -93,7 +104,20 @@ def build_gold(
         " AS avg_session_duration_30d",
         "coalesce(try_divide(popularity, carts), 0D) AS user_cart_items_avg_popularity_7d",
         "coalesce(try_divide(top_sellers, carts), 0D) AS user_cart_top_seller_ratio_7d",
+        *([f"purchase_next_{label_days}d"] if label_days else []),
+    )
+
+
+def _label(days: int | None) -> list[str]:
+    """The forward window over the daily sums, which are in the right place already."""
+    if not days:
+        return []
+    ahead = (
+        "OVER (PARTITION BY visitorid ORDER BY snapshot_day "
+        f"RANGE BETWEEN CURRENT ROW AND {days - 1} FOLLOWING)"
     )
+    bought = "CAST(CAST(transactions > 0 AS INT) AS BYTE)"
+    return [f"max({bought}) {ahead} AS purchase_next_{days}d"]
 
 
 def _with_session_starts(rows: DataFrame, timeout_minutes: float, unit: int) -> DataFrame:
@@ -168,7 +192,10 @@ def build_training_frame(
     whole_seconds: bool = False,
 ) -> DataFrame:
     """Features of every visitor-day over the full history, and the label."""
-    features = build_gold(
-        silver, method=method, whole_seconds=whole_seconds, inference_day=False
+    return build_gold(
+        silver,
+        method=method,
+        whole_seconds=whole_seconds,
+        inference_day=False,
+        label_days=target_days,
     )
-    return create_purchase_target(features, daily_purchases(silver), target_days)

@@ -116,7 +116,8 @@ def measure(text: str, automaton: ahocorasick.Automaton) -> tuple[float, int, in
     for start, end in excused:
         for at in [x for x in heaviest if start <= x < end]:
             del heaviest[at]
-    return sum(heaviest.values()), len(heaviest), folded.count(" ") - 1
+    words = folded.count(" ") - 1 if len(folded) > 2 else 0
+    return sum(heaviest.values()), len(heaviest), words
 
 
 def features(total: float, words: int) -> tuple[float, float]:

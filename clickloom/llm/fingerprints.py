@@ -165,13 +165,13 @@ def compare_with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
                 columns = [part.column(k).to_pylist() for k in ("doc_id", "text", "_run", "_edge")]
                 for doc_id, text, run_id, edge in zip(*columns):
                     text = text or ""
-                    print_ = None
+                    mark = None
                     if held and held[2] == run_id:
-                        print_ = Fingerprint.of(text)
-                        out.append(_row(*held[:2], held[3], text, print_))
+                        mark = Fingerprint.of(text)
+                        out.append(_row(*held[:2], held[3], text, mark))
                         held = None
                     if not edge:
-                        held = (doc_id, text, run_id, print_ or Fingerprint.of(text))
+                        held = (doc_id, text, run_id, mark or Fingerprint.of(text))
                 if out:
                     yield flush()
 

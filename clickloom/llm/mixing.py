@@ -114,7 +114,7 @@ def plan(
     leaves = leaves.withColumn("capacity", F.col("leaf_tokens") * max_epochs)
     held = leaves.agg(F.sum("leaf_tokens")).first()[0] or 0
     shared = budgets(leaves, int(budget_share * held), weights, default_weight)
-    # A millionth of a token more, so that exact shares survive rounding.
+    # Rounded first, so that an exact share does not lose a token to the last bit.
     whole = F.floor(F.round(F.col("budget"), 6)).cast("long")
     leaf = materialise(
         leaves.join(shared, list(LEVELS))

@@ -115,3 +115,60 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = jaccard_join.join(table(spark, sf_dir, "documents"))
     return joined.select("doc_id", "n_shingles", "component_id")
+
+
+def _level(depth: int) -> str:
+    """Budgets of one level of the tree out of those of the level above."""
+    name = mixing.LEVELS[depth]
+    path, parents = (", ".join(mixing.LEVELS[:k]) for k in (depth + 1, depth))
+    own = TARGET_WEIGHTS.get(name, {})
+    cases = " ".join(f"WHEN '{k}' THEN {w}::DOUBLE" for k, w in own.items())
+    weight = f"CASE {name} {cases} ELSE 0.1::DOUBLE END" if own else "0.1::DOUBLE"
+    above = f"JOIN budget{depth - 1} b USING ({parents})" if depth else "CROSS JOIN total b"
+    group = f"PARTITION BY {parents}" if depth else ""
+    return f"""
+node{depth} AS (
+  SELECT {path}, weight, capacity, capacity / weight AS fullness, b.budget AS whole
+  FROM (SELECT {path}, 2 * sum(leaf_tokens) AS capacity, {weight} AS weight
+        FROM leaf GROUP BY ALL) n {above}),
+level{depth} AS (
+  SELECT *, row_number() OVER o AS place, (whole - coalesce(sum(capacity) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS even
+  FROM node{depth} WINDOW o AS ({group} ORDER BY fullness, {name})),
+budget{depth} AS (
+  SELECT {path}, CASE WHEN even >= fullness THEN capacity::DOUBLE
+    ELSE weight * greatest(arg_min(even, place) FILTER (WHERE even < fullness) OVER ({group}), 0) END AS budget
+  FROM level{depth})"""
+
+
+def _mixing_sql() -> str:
+    domains = " ".join(
+        f"WHEN source IN ({', '.join(repr(f'src{k}') for k in own)}) THEN '{name}'"
+        for name, own in DOMAINS.items()
+    )
+    leaf = ", ".join(mixing.LEVELS)
+    return f"""
+WITH unit AS (
+  SELECT doc_id, text, {leaf}, CAST(sum(n) AS BIGINT) AS n_tokens
+  FROM (SELECT doc_id, text, CASE {domains} ELSE 'other' END AS domain, coalesce(lang, '') AS lang,
+          coalesce(source, '') AS source, CAST(ceil(strlen(coalesce(text, '')) / 4.0) AS BIGINT) AS n
+        FROM documents) GROUP BY ALL),
+leaf AS (SELECT {leaf}, CAST(sum(n_tokens) AS BIGINT) AS leaf_tokens FROM unit GROUP BY ALL),
+total AS (SELECT floor(0.75::DOUBLE * sum(leaf_tokens)) AS budget FROM leaf),
+{",".join(_level(k) for k in range(len(mixing.LEVELS)))},
+filled AS (
+  SELECT {leaf}, leaf_tokens, CAST(floor(round(budget, 6)) AS BIGINT) AS budget,
+    CASE WHEN leaf_tokens > 0 THEN CAST(floor(round(budget, 6)) AS BIGINT) // leaf_tokens ELSE 0 END AS full_epochs
+  FROM leaf JOIN budget2 USING ({leaf})),
+placed AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY {leaf}
+      ORDER BY md5(concat_ws(':', '{mixing.SEED}', full_epochs, doc_id)), doc_id
+      ROWS UNBOUNDED PRECEDING) AS upto
+  FROM unit JOIN filled USING ({leaf})),
+counted AS (
+  SELECT *, full_epochs + CAST(upto <= budget - full_epochs * leaf_tokens AS BIGINT) AS epochs
+  FROM placed WHERE n_tokens > 0)
+SELECT doc_id, {leaf}, n_tokens, budget, epochs FROM counted WHERE epochs > 0"""
+
+
+SQL["op8_mixing"] = _mixing_sql()

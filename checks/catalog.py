@@ -308,6 +308,11 @@ def _(spark, d):
     return profile.missing_summary(star_schema.dirty_events(spark, d))
 
 
+@query("q07_missing_summary_tree")
+def _(spark, d):
+    return profile.missing_summary(star_schema.category_tree(spark, d))
+
+
 @query("q08_missing_by_category")
 def _(spark, d):
     return profile.missing_by_category(
@@ -566,6 +571,19 @@ def _(spark, d):
     return explore.pareto_point(pareto, "transaction", "items", 0.80)
 
 
+@query("x05_pareto_items")
+def _(spark, d):
+    counts = explore.item_event_counts(star_schema.click_events(spark, d))
+    return explore.pareto_analysis(counts, "itemid", "transaction", "items")
+
+
+@query("x05_pareto_point_visitors")
+def _(spark, d):
+    counts = explore.visitor_event_counts(star_schema.click_events(spark, d))
+    pareto = explore.pareto_analysis(counts, "visitorid", "transaction", "visitors")
+    return explore.pareto_point(pareto, "transaction", "visitors", 0.80)
+
+
 @query("x06_top_visitors")
 def _(spark, d):
     counts = explore.visitor_event_counts(star_schema.click_events(spark, d))
@@ -695,6 +713,24 @@ def _(spark, d):
     return bins.histogram(counts, "view", 100)
 
 
+@query("x20_histogram_carts")
+def _(spark, d):
+    counts = explore.visitor_event_counts(star_schema.click_events(spark, d))
+    return bins.histogram(counts, "addtocart", 50)
+
+
+@query("x20_histogram_transactions")
+def _(spark, d):
+    counts = explore.visitor_event_counts(star_schema.click_events(spark, d))
+    return bins.histogram(counts, "transaction", 50)
+
+
+@query("x20_histogram_session_length")
+def _(spark, d):
+    lengths = explore.session_summary(star_schema.click_events(spark, d))
+    return bins.histogram(lengths, "events", 20)
+
+
 @query("x21_property_frequency")
 def _(spark, d):
     return catalog.property_frequency(star_schema.item_properties(spark, d)).limit(30)

@@ -480,6 +480,10 @@ FROM (""" + " UNION ALL ".join(
         + " AS e, count(*) AS total FROM dirty"
         for c in ["event_time", "visitorid", "event", "itemid", "transactionid"]
     ) + ") WHERE n + e > 0"
+    q["q07_missing_summary_tree"] = """
+SELECT 'parentid' AS "column", n AS "null", CAST(0 AS BIGINT) AS empty_string,
+  n AS total_missing, round(n * 100.0::DOUBLE / total, 6) AS percent
+FROM (SELECT count(*) FILTER (parentid IS NULL) AS n, count(*) AS total FROM tree) WHERE n > 0"""
     q["q08_missing_by_category"] = """
 SELECT 'event' AS "column", event AS category, count(*) AS total_rows,
   count(*) FILTER (transactionid IS NULL) AS missing_rows,
@@ -612,6 +616,10 @@ FROM (SELECT {entity}, transaction,
     q["x05_pareto_visitors"] = pareto("vis", "visitorid", "visitors")
     q["x05_pareto_point_items"] = f"""
 SELECT cum_transaction_pct, cum_items_pct FROM ({pareto('itm', 'itemid', 'items')})
+WHERE cum_transaction_pct >= 0.8 ORDER BY "rank" LIMIT 1"""
+    q["x05_pareto_items"] = pareto("itm", "itemid", "items")
+    q["x05_pareto_point_visitors"] = f"""
+SELECT cum_transaction_pct, cum_visitors_pct FROM ({pareto('vis', 'visitorid', 'visitors')})
 WHERE cum_transaction_pct >= 0.8 ORDER BY "rank" LIMIT 1"""
     q["x06_top_visitors"] = "SELECT * FROM vis ORDER BY transaction DESC, visitorid LIMIT 30"
     q["x06_top_items"] = "SELECT * FROM itm ORDER BY transaction DESC, itemid LIMIT 20"
@@ -677,6 +685,9 @@ SELECT bin, count(*) AS visitors, CAST(sum(transaction) AS BIGINT) AS transactio
 FROM binned_rec GROUP BY bin"""
     q["x20_histogram_purchase_recency"] = _histogram("prec", "hours", 50)
     q["x20_histogram_views"] = _histogram("vis", "view", 100)
+    q["x20_histogram_carts"] = _histogram("vis", "addtocart", 50)
+    q["x20_histogram_transactions"] = _histogram("vis", '"transaction"', 50)
+    q["x20_histogram_session_length"] = _histogram("sess", "events", 20)
     q["x21_property_frequency"] = """
 SELECT property, count(*) AS "count" FROM props GROUP BY property
 ORDER BY "count" DESC, property LIMIT 30"""

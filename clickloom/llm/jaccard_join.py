@@ -35,6 +35,8 @@ COUNTERS, BLOCK = 1 << 18, 1 << 12
 #: One shingle in so many is counted exactly, to know how long lists are.
 SAMPLED = 4096
 PARITY_BITS = 512
+#: Sets of more shingles than this also carry so many bits, as one array.
+LARGE, LARGE_BITS = 1024, 4096
 #: Bits per shingle of the wide parity, which is compared before texts are fetched.
 WIDE = 2
 TEXT_AT_ONCE = 1 << 20
@@ -256,14 +258,15 @@ def _second_pass(
     docs: DataFrame, levels: np.ndarray, edge: int, threshold: tuple[int, int]
 ) -> DataFrame:
     """One row per distinct set that can have a partner: its keys and its filters."""
-    schema = "set_id long, n long, ordinary int, keys array<long>, wide binary, " + ", ".join(
-        f"{p} long" for p in PARITY
+    schema = (
+        "set_id long, n long, ordinary int, keys array<long>, wide binary, full array<long>, "
+        + ", ".join(f"{p} long" for p in PARITY)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, sets in sets_of(batches):
-            ids, sizes, ordinary, keys, parity, wide = [], [], [], [], [], []
+            ids, sizes, ordinary, keys, parity, wide, full = [], [], [], [], [], [], []
             for own in sets:
                 n = len(own)
                 name = set_id(own)
@@ -286,6 +289,8 @@ def _second_pass(
                 spot = (own >> np.uint64(20)) & np.uint64(size - 1)
                 odd = (np.bincount(spot.astype(np.int64), minlength=size) & 1).astype(np.uint8)
                 wide.append(np.packbits(odd).tobytes())
+                large = n > LARGE
+                full.append(np.packbits(fold(odd, LARGE_BITS)).view("<i8").tolist() if large else None)
                 bits = fold(odd, PARITY_BITS)
                 ids.append(name)
                 sizes.append(n)
@@ -302,9 +307,10 @@ def _second_pass(
                     pa.array(ordinary, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(counts), pa.array(flat)),
                     pa.array(wide, pa.binary()),
+                    pa.array(full, pa.list_(pa.int64())),
                 ]
                 + [pa.array(table[:, k]) for k in range(len(PARITY))],
-                names=["set_id", "n", "ordinary", "keys", "wide", *PARITY],
+                names=["set_id", "n", "ordinary", "keys", "wide", "full", *PARITY],
             )
 
     return docs.select("text").mapInArrow(run, schema).dropDuplicates(["set_id"])
@@ -318,9 +324,14 @@ def _possible(threshold: tuple[int, int]) -> Column:
     small, large = F.least(n, other), F.greatest(n, other)
     apart = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(p))) for p in PARITY), F.lit(0))
     # J >= num/den means at most (den - num) / (den + num) of both sizes are not shared.
-    return (den * small >= num * large) & (
-        apart * (den + num) <= (den - num) * (n + other)
-    )
+    most = (den - num) * (n + other)
+    # Few bits say nothing about large sets: these are compared on more.
+    bits = F.zip_with("a_full", "full", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    further = F.aggregate(bits, F.lit(0), lambda s, x: s + x)
+    return F.when(
+        (den * small >= num * large) & (apart * (den + num) <= most),
+        F.coalesce(further * (den + num) <= most, F.lit(True)),
+    ).otherwise(False)
 
 
 def _verified(
@@ -382,7 +393,7 @@ def join(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     holders = members.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     edge = boundary(passed, threshold)
     sets = materialise(_second_pass(plain, _levels(passed), edge, threshold))
-    filters = ["n", *PARITY]
+    filters = ["n", "full", *PARITY]
 
     filed = sets.select(F.explode("keys").alias("key"), "set_id", "ordinary")
     most = F.max(F.struct("ordinary", "set_id"))

@@ -945,7 +945,7 @@ def _(spark, d):
 @query("m12_compare_models")
 def _(spark, d):
     rows = split_of(spark, d)
-    models = train.fit_models(rows.filter(F.col("split") == "train"), CANDIDATES)
+    models = train.fit_models(rows.filter(F.col("split") == "train"), CANDIDATES, parallelism=7)
     report = train.compare_models(models, rows.filter(F.col("split") == "validation"))
     # One row per model.
     place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("pr_auc"), "model"))

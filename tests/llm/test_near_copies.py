@@ -59,6 +59,12 @@ def near_copies(seed):
                 elif words:
                     words[at] = rng.choice(vocabulary).upper()
             rows.append((len(rows), " ".join(words)))
+    large = [f"{rng.choice(vocabulary)}{rng.choice(vocabulary)}" for _ in range(3000)]
+    for _ in range(12):
+        words = list(large)
+        for _ in range(rng.choice([0, 5, 20, 60, 120])):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        rows.append((len(rows), " ".join(words[: rng.choice([3000, 2900, 2500, 1100, 1000])])))
     return rows
 
 

@@ -443,7 +443,10 @@ def join(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     full = members.join(labels, "set_id", "left").withColumn(
         "component", F.when(F.col("n") > 0, F.coalesce("component", "set_id"))
     )
-    smallest = full.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # Stored, so that a component with a third of all documents can be split in the join.
+    smallest = materialise(
+        full.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    )
     return full.join(smallest, "component", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),

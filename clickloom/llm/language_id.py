@@ -27,7 +27,7 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
 #: Bytes that are scored together in a task.
-CHUNK = 512 * WINDOW
+CHUNK = 128 * WINDOW
 
 
 @dataclass

@@ -67,16 +67,18 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return mix64(np.add.reduceat(values, starts - starts[0])), np.searchsorted(starts, offsets)
 
 
-def shingle_sets(raw: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
-    """For each text the sorted distinct hashes of its shingles."""
+def shingle_sets(
+    raw: np.ndarray, offsets: np.ndarray, width: int = WORDS
+) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct hashes of its shingles of ``width`` words."""
     words, bounds = word_hashes(raw, offsets)
     inner = words * np.uint64(0xC2B2AE3D27D4EB4F)
     joined = words.copy()
-    for k in range(1, WORDS):
+    for k in range(1, width):
         joined = mix64(joined[:-1] + inner[k:])
     for start, end in zip(bounds, bounds[1:]):
-        if end - start >= WORDS:
-            yield np.unique(joined[start : end - WORDS + 1])
+        if end - start >= width:
+            yield np.unique(joined[start : end - width + 1])
         elif end > start:
             # A short text is one shingle; its length keeps it apart from longer ones.
             whole = xxhash.xxh3_64_intdigest(words[start:end].tobytes(), int(end - start))
@@ -85,12 +87,14 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def sets_of(
+    batches: Iterator[pa.RecordBatch], width: int = WORDS
+) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         raw, offsets = string_buffers(batch.column("text"))
         for first, last in slices(offsets, TEXT_AT_ONCE):
             part = offsets[first : last + 1]
-            own = shingle_sets(raw[part[0] : part[-1]], part - part[0])
+            own = shingle_sets(raw[part[0] : part[-1]], part - part[0], width)
             yield batch.slice(first, last - first), list(own)
 
 
@@ -112,7 +116,7 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.asarray(values, np.uint64).view(np.int64), pa.int64())
 
 
-def _first_pass(docs: DataFrame) -> DataFrame:
+def _first_pass(docs: DataFrame, width: int) -> DataFrame:
     """Rows of three kinds: 0 a document and its set, 1 a block of the sketch, 2 a sampled
     shingle with the number of its documents in this task."""
     from pyspark import TaskContext
@@ -124,7 +128,7 @@ def _first_pass(docs: DataFrame) -> DataFrame:
         counters = np.zeros(COUNTERS, np.uint32)
         sampled: dict[int, int] = {}
         limit = np.uint64(2**64 // SAMPLED)
-        for batch, sets in sets_of(batches):
+        for batch, sets in sets_of(batches, width):
             every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             low = (every & np.uint64(COUNTERS - 1)).astype(np.int64)
             counters += np.bincount(low, minlength=COUNTERS).astype(np.uint32)
@@ -255,7 +259,7 @@ def _narrowed(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) ->
 
 
 def _second_pass(
-    docs: DataFrame, levels: np.ndarray, edge: int, threshold: tuple[int, int]
+    docs: DataFrame, levels: np.ndarray, edge: int, threshold: tuple[int, int], width: int
 ) -> DataFrame:
     """One row per distinct set that can have a partner: its keys and its filters."""
     schema = (
@@ -265,7 +269,7 @@ def _second_pass(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for _, sets in sets_of(batches):
+        for _, sets in sets_of(batches, width):
             ids, sizes, ordinary, keys, parity, wide, full = [], [], [], [], [], [], []
             for own in sets:
                 n = len(own)
@@ -335,14 +339,18 @@ def _possible(threshold: tuple[int, int]) -> Column:
 
 
 def _verified(
-    pairs: DataFrame, docs: DataFrame, holders: DataFrame, threshold: tuple[int, int]
+    pairs: DataFrame,
+    docs: DataFrame,
+    holders: DataFrame,
+    threshold: tuple[int, int],
+    width: int,
 ) -> DataFrame:
     """Those of the stored ``pairs`` (a, b) whose sets reach the threshold."""
     ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
     wanted = materialise(holders.join(ids, "set_id", "left_semi"))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, sets in sets_of(batches):
+        for batch, sets in sets_of(batches, width):
             yield pa.RecordBatch.from_arrays(
                 [_signed(np.array([set_id(s) for s in sets], np.uint64)), batch.column("text")],
                 names=["set_id", "text"],
@@ -361,8 +369,8 @@ def _verified(
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                left = list(shingle_sets(*string_buffers(part.column("left"))))
-                right = list(shingle_sets(*string_buffers(part.column("right"))))
+                left = list(shingle_sets(*string_buffers(part.column("left")), width))
+                right = list(shingle_sets(*string_buffers(part.column("right")), width))
                 linked = []
                 for x, y in zip(left, right):
                     both = len(np.intersect1d(x, y, assume_unique=True))
@@ -378,9 +386,14 @@ def _verified(
     return joined.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
 
 
-def join(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+def join(
+    docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, width: int = WORDS
+) -> DataFrame:
     """Per row with an id: ``doc_id, n_shingles, component_id, set_id``.
 
+    Two texts are linked if their sets of shingles of ``width`` words have a Jaccard
+    similarity of at least ``threshold``, a fraction.
+
     ``component_id`` is the smallest ``doc_id`` reachable by links between texts; texts with
     the same shingles are linked. Null, empty and blank texts have no shingles and are linked
     with nothing. Rows with a null id take no part and are left out; rows that repeat an id
@@ -388,11 +401,11 @@ def join(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     plain = plain.filter("doc_id IS NOT NULL")
-    passed = materialise(_first_pass(plain))
+    passed = materialise(_first_pass(plain, width))
     members = passed.filter("kind = 0").select("doc_id", "set_id", "n")
     holders = members.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     edge = boundary(passed, threshold)
-    sets = materialise(_second_pass(plain, _levels(passed), edge, threshold))
+    sets = materialise(_second_pass(plain, _levels(passed), edge, threshold, width))
     filters = ["n", "full", *PARITY]
 
     filed = sets.select(F.explode("keys").alias("key"), "set_id", "ordinary")
@@ -413,7 +426,7 @@ def join(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     both = one.join(info.withColumnRenamed("set_id", "pivot"), "pivot")
     near = both.filter(_possible(threshold)).select("a", F.col("pivot").alias("b"))
     first = materialise(_narrowed(near, sets, threshold))
-    links = materialise(_verified(first, plain, holders, threshold))
+    links = materialise(_verified(first, plain, holders, threshold, width))
     labels = components(links)
 
     # Lists that still hold several components: only sets of different ones are compared.
@@ -437,7 +450,7 @@ def join(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
         .distinct()
     )
     second = materialise(_narrowed(near, sets, threshold))
-    links = links.union(_verified(second, plain, holders, threshold))
+    links = links.union(_verified(second, plain, holders, threshold, width))
     labels = components(links).select(F.col("node").alias("set_id"), "component")
 
     full = members.join(labels, "set_id", "left").withColumn(

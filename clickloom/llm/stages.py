@@ -49,13 +49,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_text(kept, F.col("text")).select(*docs.columns)
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_copies(
+    spark: SparkSession,
+    docs: DataFrame,
+    sf_dir: str,
+    threshold: tuple[int, int] = jaccard_join.THRESHOLD,
+    width: int = jaccard_join.WORDS,
+) -> DataFrame:
     """One document of each group of linked texts stays, that with the smallest id.
 
     Rows without an id take no part and stay; equal rows are reduced to one.
     """
     ship(spark)
-    joined = jaccard_join.join(docs)
+    joined = jaccard_join.join(docs, threshold, width)
     first = joined.filter("doc_id = component_id").select("doc_id").distinct()
     whole = docs.withColumn("_hash", F.xxhash64("text"))
     single = whole.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "_hash"])

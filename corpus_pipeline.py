@@ -6,15 +6,20 @@ executor costs a read and not the work before it.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.functions.storage import materialise
 from clickloom.llm import stages
 
+#: Near copies of the pipeline: shingles of five words, Jaccard similarity of 0.8 or more.
+NEAR = {"threshold": (80, 100), "width": 5}
+
 STAGES = [
     ("language_id", stages.language),
     ("line_dedup", stages.lines),
-    ("jaccard_join", stages.near_copies),
+    ("jaccard_join", partial(stages.near_copies, **NEAR)),
     ("mixing", stages.mix),
     ("packing", stages.pack),
 ]

@@ -1,8 +1,8 @@
 """Licence scan with a positional index over rare words, in DataFrame operations only.
 
 The words of all licence templates are the index's vocabulary; their document frequencies
-are counted over the whole table. Of each file, the occurrences of its rarest licence words
-are looked up in the templates' postings. Occurrences that agree on where the template would
+are counted over the whole table. Each template has postings of its rarest words, and every
+occurrence of such a word in a file is looked up in them. Occurrences that agree on where the template would
 begin are summed up; a beginning with enough weight is a licence if the mandatory phrases of
 the template stand word for word in their places.
 """
@@ -81,7 +81,6 @@ COMMON = frozenset(
     "a and any are as by can for in is it of or that the this to under with without you".split()
 )
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RAREST = 24  # licence words of a file that are looked up
 INDEXED = 8  # rarest words of a template that have postings
 PLACED = 0.6  # share of a template's weight that has to agree on its beginning
 BASE_SCORE = 0.5  # of a file with a base label whose place fits no template
@@ -187,25 +186,16 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     found = materialise(occurrences(docs.select("doc_id", "text")))
     idf = inverse_frequencies(found)
-    weights = F.create_map(*[F.lit(x) for pair in idf.items() for x in pair])
+    indexed = postings(docs.sparkSession, idf)
+    listed = sorted({r["word"] for r in indexed.select("word").distinct().collect()})  # templates
     licensed = found.filter("hits IS NOT NULL")
-    rarest = F.slice(
-        F.array_sort(
-            F.transform(
-                F.array_distinct("hits.word"),
-                lambda w: F.struct((-F.element_at(weights, w)).alias("rarity"), w.alias("word")),
-            )
-        ),
-        1,
-        RAREST,
-    )
-    looked_up = licensed.withColumn("_rarest", F.transform(rarest, lambda r: r["word"])).select(
-        "row", F.explode(F.filter("hits", lambda h: F.array_contains("_rarest", h["word"]))).alias("h")
+    looked_up = licensed.select(
+        "row", F.explode(F.filter("hits", lambda h: h["word"].isin(listed))).alias("h")
     )
     # The hint is safe: the postings are the fixed templates.
     placed = (
         looked_up.select("row", "h.at", "h.word")
-        .join(F.broadcast(postings(docs.sparkSession, idf)), "word")
+        .join(F.broadcast(indexed), "word")
         .withColumn("begin", F.col("at") - F.col("place"))
         .groupBy("row", "template", "begin")
         .agg(

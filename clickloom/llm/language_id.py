@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,30 +149,35 @@ def fit(labelled: DataFrame) -> ByteConvNet | None:
     so repeated rows count once. Without labelled rows there is no network.
     """
     rows = labelled.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
+    rows = rows.withColumn("_h", F.shiftrightunsigned(F.xxhash64("text"), 2))
     counts = (
-        rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(TRAIN_LANGUAGES)
+        rows.groupBy("lang", "_h")
+        .count()
+        .groupBy("lang")
+        .agg(F.sum("count").alias("rows"), F.count(F.lit(1)).alias("texts"))
+        .orderBy(F.desc("rows"), "lang")
+        .limit(TRAIN_LANGUAGES)
     ).collect()
     if not counts:
         return None
     share = TRAIN_DOCS // len(counts)
-    # Twice the share, so that chance and copies leave enough.
-    limits = {r["lang"]: int(2**62 * min(1.0, 2.0 * share / r["count"])) for r in counts}
+    # Twice the share, so that chance leaves enough; of the texts, as copies are drawn together.
+    limits = {r["lang"]: int(2**62 * min(1.0, 2.0 * share / r["texts"])) for r in counts}
     limit = F.element_at(
         F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), F.col("lang")
     )
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("_h"))  # of a few drawn ones
     drawn = (
-        rows.withColumn("_h", F.shiftrightunsigned(F.xxhash64("text"), 2))
-        .filter(F.col("_h") <= limit)
+        rows.filter(F.col("_h") <= limit)
         .dropDuplicates(["_h", "lang"])
+        .withColumn("_place", place)
+        .filter(F.col("_place") <= share)
         .orderBy("_h", "lang")
-        .limit(2 * TRAIN_DOCS)
         .collect()
     )
     taken: dict[str, list[str]] = {}
     for r in drawn:
-        own = taken.setdefault(r["lang"], [])
-        if len(own) < share:
-            own.append(r["text"])
+        taken.setdefault(r["lang"], []).append(r["text"])
     pairs = [(t, lang) for lang in sorted(taken) for t in taken[lang]]
     return train([t for t, _ in pairs], [lang for _, lang in pairs])
 

@@ -49,9 +49,3 @@ def make_events(spark):
 @pytest.fixture(scope="session")
 def day0():
     return (DAY0.date() - dt.date(1970, 1, 1)).days
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=lambda r: tuple(map(str, r)))

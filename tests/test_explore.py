@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from clickloom.functions import bins, ordered
 from clickloom.operators import catalog, explore
 from clickloom.sources import star_schema
-from conftest import rows
+from frames import rows
 
 SF = "/root/testdata/sf0.001"
 

@@ -6,7 +6,7 @@ from clickloom.operators import behavior, popularity, snapshots, target
 from clickloom.plans import gold
 from clickloom.schemas import GOLD, MODEL_FEATURES
 from clickloom.sources import star_schema
-from conftest import rows
+from frames import rows
 
 D = 86400
 SF = "/root/testdata/sf0.001"

@@ -11,7 +11,7 @@ from clickloom.sources import catalog as catalog_files
 from clickloom.sources import events as event_files
 from clickloom.sources import layers, star_schema
 from checks.catalog import fixed_score
-from conftest import rows
+from frames import rows
 
 SF = "/root/testdata/sf0.001"
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from clickloom.functions import probability
 from clickloom.operators import evaluate, score, split, train
 from clickloom.schemas import MODEL_FEATURES, TARGET
-from conftest import rows
+from frames import rows
 
 
 @pytest.fixture(scope="module")

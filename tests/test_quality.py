@@ -3,7 +3,7 @@ import pytest
 from clickloom.functions.copies import expand_copies
 from clickloom.operators import profile, quality
 from clickloom.sources import layers
-from conftest import rows
+from frames import rows
 
 DIRTY = [
     (0, 1, "view", 1, None),

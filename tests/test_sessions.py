@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import sessions, snapshots
-from conftest import rows
+from frames import rows
 
 MIN = 60
 GAPS = [

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    decontamination,
+    filter_audit,
     fingerprints,
     jaccard_join,
     language_id,
@@ -19,6 +21,7 @@ from . import (
     permutation_index,
     token_file,
     toxicity,
+    whitening,
 )
 from .common import crc_remainder, ship, table
 
@@ -117,6 +120,24 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.summary(decontamination.scan(docs, items))
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", whitening.as_long(F.col("deviation")))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return filter_audit.audit_documents(docs, labels).drop("filter")
+
+
 def _level(depth: int) -> str:
     """Budgets of one level of the tree out of those of the level above."""
     name = mixing.LEVELS[depth]
@@ -172,3 +193,67 @@ SELECT doc_id, {leaf}, n_tokens, budget, epochs FROM counted WHERE epochs > 0"""
 
 
 SQL["op8_mixing"] = _mixing_sql()
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+SQL["op11_decontamination"] = f"""
+WITH doc AS (SELECT row_number() OVER () AS id, doc_id, {_WORDS} AS w FROM documents),
+item AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark),
+item_window AS (
+  SELECT DISTINCT item, n, array_to_string(w[p + 1:p + n], ' ') AS words
+  FROM (SELECT *, unnest(range(len(w) - n + 1)) AS p
+        FROM (SELECT *, least(10, len(w)) AS n FROM item WHERE len(w) > 0))),
+doc_window AS (
+  SELECT id, p, n, array_to_string(w[p + 1:p + n], ' ') AS words
+  FROM (SELECT id, w, n, unnest(range(len(w) - n + 1)) AS p
+        FROM doc, (SELECT DISTINCT n FROM item_window) WHERE len(w) >= n)),
+hit AS (SELECT id, p, n, item FROM doc_window JOIN item_window USING (n, words)),
+covered AS (SELECT id, count(DISTINCT place) AS n_hit
+            FROM (SELECT id, unnest(range(p, p + n)) AS place FROM hit) GROUP BY id),
+owner AS (SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT id, item FROM hit) GROUP BY id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (id) LEFT JOIN owner USING (id)"""
+
+SQL["op13_filter_audit"] = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+label AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+          FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    list_filter(['A', 'B', 'C', 'D', 'E'], lambda f: CASE f
+      WHEN 'A' THEN len(w) < 200
+      WHEN 'B' THEN 100 * len(list_distinct(w)) < 50 * len(w)
+      WHEN 'C' THEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text)
+      WHEN 'D' THEN regexp_matches(text, '[#$%&*|]')
+      ELSE coalesce(doc_id > first_id, first_id IS NOT NULL) END) AS fails
+  FROM (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first_id FROM doc)
+  LEFT JOIN label USING (doc_id)),
+mask AS (SELECT part, fails, count(*) AS docs, sum(good) AS good, sum(toxic) AS toxic
+         FROM failed GROUP BY ALL),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+filter_order AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS o
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+placed AS (
+  SELECT part, o, step, fails, docs, good, toxic, o[step] AS f,
+    list_contains(fails, o[step]) AS is_failing, list_has_any(fails, o[1:step - 1]) AS is_gone
+  FROM mask, filter_order, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+counted AS (
+  SELECT part, o, step, f,
+    sum(CASE WHEN is_failing OR is_gone THEN 0 ELSE docs END)::BIGINT AS kept,
+    sum(CASE WHEN is_failing AND NOT is_gone THEN docs ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN is_failing AND is_gone THEN docs ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN is_failing AND len(fails) = 1 THEN docs ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN is_failing AND NOT is_gone THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN is_failing AND NOT is_gone THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM placed GROUP BY ALL)
+SELECT part, array_to_string(o, '') AS filter_order, step, kept, removed, redundant, unique_fails,
+  good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM counted"""

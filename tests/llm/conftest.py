@@ -1,21 +1,9 @@
 import pytest
 
 from clickloom.llm.common import ship
+from edge_texts import EDGES
 
 SF = "/root/testdata/sf0.001"
-# Null, empty, blank, signs only, one word, other scripts, a text of one long word, and a
-# long text; the same text under another id.
-EDGES = [
-    (9001, None),
-    (9002, ""),
-    (9003, " \n "),
-    (9004, "!!! 123 ###"),
-    (9005, "One"),
-    (9006, "日本語 テスト 😀 x😀 ý é"),
-    (9007, "a" * 20_000),
-    (9008, "Lorem ipsum dolor sit amet. " * 6_000),
-    (9009, "Lorem ipsum dolor sit amet. " * 6_000),
-]
 
 
 @pytest.fixture(scope="session")

@@ -21,6 +21,7 @@ from clickloom.operators import (
     catalog,
     evaluate,
     explore,
+    newton,
     popularity,
     profile,
     quality,
@@ -65,7 +66,9 @@ CANDIDATES = {
         "boosted", {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3, "subsamplingRate": 0.8}
     ),
 }
-QUICK = ("Baseline Logistic Regression", "Tuned Logistic Regression", "Tuned Random Forest")
+#: Results of trained models, which no SQL over the tables can give. A query beside each, with
+#: SQL, checks properties that a scorer which learned nothing would not have.
+TRAINED: set[str] = set()
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -98,6 +101,11 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+def trained(name: str) -> Callable[[Query], Query]:
+    TRAINED.add(name)
+    return query(name)
+
+
 def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.add_snapshot_day(star_schema.click_events(spark, sf_dir))
 
@@ -862,11 +870,31 @@ def inside(p: str) -> Column:
     return F.coalesce(F.col(p).between(0, 1), F.lit(False)).cast("long").alias("inside")
 
 
-def _validated_scores(spark: SparkSession, d: str, spec: train.ModelSpec) -> DataFrame:
-    rows = split_of(spark, d)
-    model = train.fit_model(rows.filter(F.col("split") == "train"), spec)
+def varies(scored: DataFrame, p: str) -> Column:
+    """1 if rows differ in their score."""
+    return scored.select((F.min(p) < F.max(p)).cast("long")).scalar().alias("varies")
+
+
+def learns(model, rows: DataFrame) -> int:
+    """1 if the model ranks the rows it was fitted on better than chance does."""
+    scored = train.score_rows(model, rows)
+    precision = evaluate.evaluate_model(scored, label=TARGET).first().pr_auc
+    return int(precision > rows.agg(F.avg(TARGET)).first()[0])
+
+
+def _validated(spark: SparkSession, d: str, spec: train.ModelSpec) -> tuple[DataFrame, int]:
+    """Scores of the validation rows, and whether the model learned from the train rows."""
+    rows = storage.materialise(split_of(spark, d))
+    fitted_on = rows.filter(F.col("split") == "train")
+    model = train.fit_model(fitted_on, spec)
     scored = train.score_rows(model, rows.filter(F.col("split") == "validation"))
-    return scored.select(*KEY, TARGET, inside("p"))
+    return scored.select(*KEY, TARGET, "p"), learns(model, fitted_on)
+
+
+def _validated_scores(spark: SparkSession, d: str, spec: train.ModelSpec) -> DataFrame:
+    scored, learned = _validated(spark, d, spec)
+    flag = F.lit(learned).cast("long").alias("learns")
+    return scored.select(*KEY, TARGET, inside("p"), varies(scored, "p"), flag)
 
 
 def score_equations(
@@ -917,6 +945,16 @@ def _(spark, d):
     return _validated_scores(spark, d, train.ModelSpec("boosted", BOOSTED))
 
 
+@trained("m08_random_forest_scores")
+def _(spark, d):
+    return _validated(spark, d, train.ModelSpec("forest", FORESTS))[0]
+
+
+@trained("m09_boosted_trees_scores")
+def _(spark, d):
+    return _validated(spark, d, train.ModelSpec("boosted", BOOSTED))[0]
+
+
 @query("m10_expanding_folds")
 def _(spark, d):
     return split.expanding_folds(prepared_of(spark, d)).select(*KEY, "fold")
@@ -942,15 +980,54 @@ def _(spark, d):
     return report.select("place", "family", *in_order("place", "mean_pr_auc", "params"))
 
 
+@trained("m11_search_scores")
+def _(spark, d):
+    folds = folds_of(spark, d)
+    family, draws, grid = train.GRIDS["Tuned Logistic Regression"]
+    return train.search_report(folds, train.randomised_search(folds, family, grid, n_iter=draws))
+
+
+@query("m11_search_equations")
+def _(spark, d):
+    """Every fit of the search: its rows, and that its equations hold at its coefficients."""
+    folds = storage.materialise(folds_of(spark, d))
+    _, draws, grid = train.GRIDS["Tuned Logistic Regression"]
+    fits = newton.search_fits(train.sample_params(grid, draws), n_splits=3)
+    left = newton.score_equations(folds, newton.fit_together(folds, fits))
+    return left.withColumn("name", F.col("name").cast("long")).withColumnRenamed("name", "draw")
+
+
+_selections: dict[tuple[str, str], tuple[str, DataFrame, score.PurchaseScorer]] = {}
+
+
+def selection_of(spark: SparkSession, d: str) -> tuple[str, DataFrame, score.PurchaseScorer]:
+    """Winner of all candidates, the metrics of each, and the winner's scorer.
+
+    Fitted once for an application and folder, and shared by the queries on it.
+    """
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _selections:
+        rows = storage.materialise(split_of(spark, d))
+        winner, report = training.select_model(rows, CANDIDATES, parallelism=7)
+        _selections[key] = winner, report, training.refit(rows, CANDIDATES[winner])
+    return _selections[key]
+
+
 @query("m12_compare_models")
 def _(spark, d):
-    rows = split_of(spark, d)
-    models = train.fit_models(rows.filter(F.col("split") == "train"), CANDIDATES, parallelism=7)
-    report = train.compare_models(models, rows.filter(F.col("split") == "validation"))
+    winner, report, _ = selection_of(spark, d)
     # One row per model.
     place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("pr_auc"), "model"))
-    placed = storage.materialise(report.withColumn("place", place))
-    return placed.select("model", *in_order("place", "pr_auc", "model"))
+    placed = report.withColumn("place", place)
+    best = (F.col("model") == winner) == (F.col("place") == 1)
+    return placed.select(
+        "model", *in_order("place", "pr_auc", "model"), best.cast("long").alias("winner_is_first")
+    )
+
+
+@trained("m12_model_scores")
+def _(spark, d):
+    return selection_of(spark, d)[1]
 
 
 @query("m13_development_set")
@@ -966,7 +1043,13 @@ def _oof(spark: SparkSession, d: str) -> DataFrame:
 
 @query("m14_oof_predictions")
 def _(spark, d):
-    return _oof(spark, d).select(*KEY, "fold", TARGET, inside("p"))
+    scored = storage.materialise(_oof(spark, d))
+    return scored.select(*KEY, "fold", TARGET, inside("p"), varies(scored, "p"))
+
+
+@trained("m14_oof_scores")
+def _(spark, d):
+    return _oof(spark, d).select(*KEY, "fold", TARGET, "p")
 
 
 @query("m15_logit")
@@ -997,25 +1080,60 @@ def _(spark, d):
     )
 
 
-def _scorer(rows: DataFrame) -> score.PurchaseScorer:
-    """Scorer of the best of a few candidates."""
-    return training.select_and_refit(rows, {k: CANDIDATES[k] for k in QUICK})[1]
+def _test_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Test rows scored by the refitted winner."""
+    rows = split_of(spark, d).filter(F.col("split") == "test")
+    return storage.materialise(selection_of(spark, d)[2].transform(rows))
 
 
 @query("m18_final_refit")
 def _(spark, d):
-    rows = split_of(spark, d)
-    scored = _scorer(rows).transform(rows.filter(F.col("split") == "test"))
-    return scored.select(*KEY, inside("raw_probability"))
+    scored = _test_scores(spark, d)
+    return scored.select(*KEY, inside("raw_probability"), varies(scored, "raw_probability"))
 
 
-@query("m19_permutation_importance")
+@trained("m18_refit_scores")
 def _(spark, d):
-    rows = split_of(spark, d)
+    return _test_scores(spark, d).select(*KEY, "raw_probability", score.PROBABILITY)
+
+
+def _validation_model(spark: SparkSession, d: str):
+    """A logistic model of the train rows, and the validation rows."""
+    rows = storage.materialise(split_of(spark, d))
     model = train.fit_model(rows.filter(F.col("split") == "train"), train.ModelSpec("logistic"))
-    found = train.permutation_importance(model, rows.filter(F.col("split") == "validation"))
-    drop = F.col("importance").between(-1, 1).cast("long")
-    return found.select("feature", drop.alias("inside"))
+    return model, rows.filter(F.col("split") == "validation")
+
+
+@query("m19_permutation_importance")
+def _(spark, d):
+    """Importances lie in -1 to 1; shuffled columns keep their rows, sums and extremes."""
+    _, rows = _validation_model(spark, d)
+    numbered = train.numbered_rows(rows)
+    n = numbered.count()
+    sums = []
+    for repeat in range(5):
+        both = train.shuffled_features(numbered, n, train.SEED + repeat)
+        columns = F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("feature"),
+                    F.count(f"_s_{c}").alias("rows"),
+                    F.sum(F.col(f"_s_{c}").cast("double")).alias("total"),
+                    F.max(F.col(f"_s_{c}").cast("double")).alias("largest"),
+                    (F.count_if(~F.col(f"_s_{c}").eqNullSafe(F.col(c))) > 0).cast("long").alias("moved"),
+                )
+                for c in MODEL_FEATURES
+            ]
+        )
+        sums.append(
+            both.agg(columns.alias("c")).select(F.lit(repeat).alias("repeat"), F.inline("c"))
+        )
+    return evaluate.union_all(sums)
+
+
+@trained("m19_importances")
+def _(spark, d):
+    return train.permutation_importance(*_validation_model(spark, d))
 
 
 @query("m20_ranked_predictions_fixed")
@@ -1026,16 +1144,20 @@ def _(spark, d):
 
 @query("m21_composite_scorer")
 def _(spark, d):
-    rows = split_of(spark, d)
-    scorer = _scorer(rows)
-    ranked = score.rank_predictions(scorer.transform(rows.filter(F.col("split") == "test")))
-    return ranked.select(*KEY, inside(score.PROBABILITY))
+    scored = _test_scores(spark, d)
+    ranked = score.rank_predictions(scored)
+    return ranked.select(*KEY, inside(score.PROBABILITY), varies(scored, score.PROBABILITY))
+
+
+@trained("m21_ranked_scores")
+def _(spark, d):
+    return score.rank_predictions(_test_scores(spark, d)).select(*KEY, score.PROBABILITY)
 
 
 @query("m22_reload_equivalence")
 def _(spark, d):
     rows = split_of(spark, d)
-    scorer = _scorer(rows)
+    scorer = selection_of(spark, d)[2]
     path = storage.shared_path(spark, "scorer")
     scorer.save(spark, path)
     again = score.PurchaseScorer.load(spark, path)
@@ -1117,11 +1239,20 @@ def _(spark, d):
     return score.predict(fixed_score, inference)
 
 
+def _trained_predictions(spark: SparkSession, d: str) -> DataFrame:
+    inference = score.prepare_inference_data(gold.build_gold(silver_of(spark, d)))
+    return storage.materialise(score.predict(selection_of(spark, d)[2], inference))
+
+
 @query("p03_predict_trained")
 def _(spark, d):
-    scorer = _scorer(split_of(spark, d))
-    inference = score.prepare_inference_data(gold.build_gold(silver_of(spark, d)))
-    return score.predict(scorer, inference).select("visitorid", inside(score.PROBABILITY))
+    scored = _trained_predictions(spark, d)
+    return scored.select("visitorid", inside(score.PROBABILITY), varies(scored, score.PROBABILITY))
+
+
+@trained("p03_trained_scores")
+def _(spark, d):
+    return _trained_predictions(spark, d)
 
 
 @query("p04_write_predictions")

@@ -755,30 +755,57 @@ WHERE split IN ('train', 'validation')"""
     q["m07_logistic_regression"] = f"""
 SELECT term, (SELECT count(*) FROM parts WHERE split = 'train') AS "rows", 0.0::DOUBLE AS "left"
 FROM (VALUES {terms}, ('intercept')) t(term)"""
+
+    def both(*splits: str) -> str:
+        """1 if the label has both values there, without which nothing can be learned."""
+        listed = ", ".join(f"'{x}'" for x in splits)
+        return (
+            "(SELECT CAST(min(purchase_next_7d) < max(purchase_next_7d) AS BIGINT) FROM parts "
+            f"WHERE split IN ({listed}))"
+        )
+
     q["m08_random_forest"] = q["m09_boosted_trees"] = f"""
-SELECT {_KEY}, {_n('purchase_next_7d', 'purchase_next_7d')}, CAST(1 AS BIGINT) AS inside
+SELECT {_KEY}, {_n('purchase_next_7d', 'purchase_next_7d')}, CAST(1 AS BIGINT) AS inside,
+  {both('train')} AS varies, {both('train')} AS learns
 FROM parts WHERE split = 'validation'"""
     q["m11_randomised_search"] = """
 SELECT i AS place, 'logistic' AS family, CAST(1 AS BIGINT) AS falls, CAST(15 AS BIGINT) AS different
 FROM range(1, 16) r(i)"""
     names = ", ".join(f"('{name}')" for name in CANDIDATES)
     q["m12_compare_models"] = f"""
-SELECT model, CAST(1 AS BIGINT) AS falls, CAST({len(CANDIDATES)} AS BIGINT) AS different
+SELECT model, CAST(1 AS BIGINT) AS falls, CAST({len(CANDIDATES)} AS BIGINT) AS different,
+  CAST(1 AS BIGINT) AS winner_is_first
 FROM (VALUES {names}) t(model)"""
     developed = """(SELECT *, CAST(greatest(3 - (n - i) // (n // 4), 0) AS BIGINT) AS fold
   FROM (SELECT *, row_number() OVER (ORDER BY snapshot_day, visitorid) AS i,
           count(*) OVER () AS n FROM parts WHERE split IN ('train', 'validation')))"""
     q["m14_oof_predictions"] = f"""
-SELECT {_KEY}, fold, {_n('purchase_next_7d', 'purchase_next_7d')}, CAST(1 AS BIGINT) AS inside
+SELECT {_KEY}, fold, {_n('purchase_next_7d', 'purchase_next_7d')}, CAST(1 AS BIGINT) AS inside,
+  (SELECT CAST(min(purchase_next_7d) < max(purchase_next_7d) AS BIGINT) FROM {developed}
+   WHERE fold < 3) AS varies
 FROM {developed} WHERE fold > 0"""
     q["m16_platt_calibrator"] = f"""
 SELECT term, (SELECT count(*) FROM {developed} WHERE fold > 0) AS "rows", 0.0::DOUBLE AS "left"
 FROM (VALUES ('slope 0'), ('intercept')) t(term)"""
     q["m18_final_refit"] = q["m21_composite_scorer"] = f"""
-SELECT {_KEY}, CAST(1 AS BIGINT) AS inside FROM parts WHERE split = 'test'"""
-    features = ", ".join(f"('{name}')" for name in MODEL_FEATURES)
-    q["m19_permutation_importance"] = f"""
-SELECT feature, CAST(1 AS BIGINT) AS inside FROM (VALUES {features}) t(feature)"""
+SELECT {_KEY}, CAST(1 AS BIGINT) AS inside, {both('train', 'validation')} AS varies
+FROM parts WHERE split = 'test'"""
+    q["m19_permutation_importance"] = " UNION ALL ".join(
+        f"""
+SELECT CAST(k AS BIGINT) AS repeat, '{c}' AS feature, count({c}) AS "rows",
+  {_r(f'sum(CAST({c} AS DOUBLE))', 'total')}, {_r(f'max(CAST({c} AS DOUBLE))', 'largest')},
+  CAST(min({c}) < max({c}) AS BIGINT) AS moved
+FROM parts, range(5) r(k) WHERE split = 'validation' GROUP BY k"""
+        for c in MODEL_FEATURES
+    )
+    q["m11_search_equations"] = """
+SELECT CAST(k AS BIGINT) AS draw, CAST(f AS BIGINT) AS fold, count(*) AS "rows",
+  count(*) FILTER (purchase_next_7d = 1) AS positives, 0.0::DOUBLE AS "left"
+FROM (SELECT *, greatest(3 - (n - i) // (n // 4), 0) AS own
+      FROM (SELECT *, row_number() OVER (ORDER BY snapshot_day, visitorid) AS i,
+              count(*) OVER () AS n FROM parts WHERE split = 'train')),
+  range(15) d(k), range(1, 4) u(f)
+WHERE own < f GROUP BY k, f"""
     q["m22_reload_equivalence"] = """
 SELECT count(*) AS "rows", 0.0::DOUBLE AS max_difference, CAST(1 AS BIGINT) AS all_close
 FROM parts WHERE split = 'test'"""
@@ -832,7 +859,7 @@ WHERE snapshot_day = (SELECT max(snapshot_day) FROM gold)
   AND user_views_7d + user_addtocart_7d + user_transactions_30d >= 5"""
     q["p01_prepare_inference_data"] = f"SELECT {_GOLD_KEYLESS} FROM gold {inference}"
     q["p02_fix_types"] = f"SELECT {_GOLD} FROM gold"
-    q["p03_predict_trained"] = f"SELECT visitorid, CAST(1 AS BIGINT) AS inside FROM gold {inference}"
+    q["p03_predict_trained"] = f"SELECT visitorid, CAST(1 AS BIGINT) AS inside, {both('train', 'validation')} AS varies FROM gold {inference}"
     q["p03_predict_fixed"] = q["p04_write_predictions"] = _prediction_window("gold")
     return q
 

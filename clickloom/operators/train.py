@@ -21,11 +21,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bijection import permuted
 from ..functions.ordered import running_totals
 from ..functions.probability import logit
 from ..functions.storage import materialise
 from ..schemas import MODEL_FEATURES, TARGET
 from .evaluate import evaluate_model, union_all
+from .newton import fit_together, score_folds, search_fits
 
 WEIGHT = "_weight"
 SEED = 42
@@ -267,18 +269,25 @@ def randomised_search(
 ) -> list[tuple[ModelSpec, float]]:
     """Mean average precision over the expanding folds, best first.
 
-    Draws are fitted ``parallelism`` at a time; the scores of all draws are ranked in one
-    pass, grouped by draw and fold.
+    Logistic regressions of all draws and folds are solved together (``newton``). Trees are
+    fitted ``parallelism`` draws at a time. The scores of all draws are ranked in one pass,
+    grouped by draw and fold.
     """
     rows = materialise(folds)
-    specs = [ModelSpec(family, params) for params in sample_params(grid, n_iter, seed)]
+    drawn = sample_params(grid, n_iter, seed)
+    specs = [ModelSpec(family, params) for params in drawn]
 
     def scores(draw: int) -> DataFrame:
         scored = out_of_fold_scores(rows, specs[draw], n_splits, label)
         return scored.select(F.lit(draw).alias("draw"), "fold", F.col(label).alias("y"), "p")
 
-    with ThreadPool(max(1, min(parallelism, len(specs)))) as pool:
-        every = union_all(pool.map(scores, range(len(specs))))
+    if family == "logistic":
+        models = fit_together(rows, search_fits(drawn, n_splits), label=label)
+        scored = score_folds(rows, models, label=label)
+        every = scored.withColumn("draw", F.col("name").cast("int"))
+    else:
+        with ThreadPool(max(1, min(parallelism, len(specs)))) as pool:
+            every = union_all(pool.map(scores, range(len(specs))))
     per_fold = evaluate_model(every, group=["draw", "fold"])
     means = {
         r["draw"]: r["mean"]  # one row per draw
@@ -326,22 +335,25 @@ def fit_calibrator(
     return float(model.coefficients[0]), float(model.intercept)
 
 
-def _shuffled_features(
-    by_key: DataFrame, df: DataFrame, keys: Sequence[str], seed: int
+def numbered_rows(
+    df: DataFrame, keys: Sequence[str] = ("visitorid", "snapshot_day"), label: str = TARGET
 ) -> DataFrame:
-    """The rows with a second set of features taken from a random other row.
+    """Keys, label and features with ``_n``, 1 to the number of rows in the order of the keys.
+
+    The only ordering that permutation importance needs, stored for all its repeats.
+    """
+    rows = df.select(*keys, label, *MODEL_FEATURES)
+    return materialise(running_totals(rows, order=[F.asc(k) for k in keys], sums={}, rank="_n"))
+
+
+def shuffled_features(numbered: DataFrame, n: int, seed: int) -> DataFrame:
+    """The rows with a second set of features, ``_s_<name>``, taken from another row each.
 
-    ``by_key`` has the rows numbered by key; the others are numbered by a seeded hash of
-    the key, and both are joined on the number.
+    A row's features go to the number that a seeded bijection gives, so each is used once.
     """
-    key_order = [F.asc(k) for k in keys]
-    by_hash = running_totals(
-        df.select(*keys, *MODEL_FEATURES).withColumn("_h", F.xxhash64(*keys, F.lit(seed))),
-        order=[F.asc("_h"), *key_order],
-        sums={},
-        rank="_n",
-    ).select("_n", *[F.col(c).alias(f"_s_{c}") for c in MODEL_FEATURES])
-    return by_key.join(by_hash, "_n").drop("_n")
+    goes_to = (permuted(F.col("_n") - 1, n, seed) + 1).alias("_n")
+    moved = numbered.select(goes_to, *[F.col(c).alias(f"_s_{c}") for c in MODEL_FEATURES])
+    return numbered.join(moved, "_n")
 
 
 def permutation_importance(
@@ -354,14 +366,15 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean drop in average precision when one feature is shuffled.
 
-    All features of a repeat share one random order; their variants are scored
-    and ranked together, grouped by repeat and feature.
+    All features of a repeat share one random order, a bijection of the row numbers; their
+    variants are scored and ranked together, grouped by repeat and feature. Rows are ordered
+    once, whatever the repeats.
     """
-    base = df.select(*keys, label, *MODEL_FEATURES)
+    base = numbered_rows(df, keys, label)
+    n = base.count()
     parts = []
-    by_key = materialise(running_totals(base, order=[F.asc(k) for k in keys], sums={}, rank="_n"))
     for repeat in range(n_repeats):
-        both = _shuffled_features(by_key, base, keys, seed + repeat)
+        both = shuffled_features(base, n, seed + repeat)
         variants = [
             F.struct(
                 F.lit(shuffled).alias("feature"),

@@ -28,14 +28,21 @@ def refit(rows: DataFrame, spec: ModelSpec, n_splits: int = 3) -> PurchaseScorer
     return PurchaseScorer(fit_model(development, spec), slope, intercept)
 
 
+def select_model(
+    rows: DataFrame, candidates: Mapping[str, ModelSpec], parallelism: int = 4
+) -> tuple[str, DataFrame]:
+    """The candidate with the best average precision on the validation rows, and the metrics
+    of all, stored. Every candidate is fitted on the train rows only."""
+    models = fit_models(rows.filter(F.col("split") == "train"), candidates, parallelism)
+    report = compare_models(models, rows.filter(F.col("split") == "validation"))
+    stored = materialise(report)
+    first = stored.orderBy(F.desc("pr_auc"), "model").select("model").first()
+    return first[0], stored
+
+
 def select_and_refit(
     rows: DataFrame, candidates: Mapping[str, ModelSpec], n_splits: int = 3, parallelism: int = 4
 ) -> tuple[str, PurchaseScorer]:
-    """The candidate with the best average precision on the validation rows, and its scorer.
-
-    ``rows`` carry ``split``. Every candidate is fitted on the train rows only.
-    """
-    models = fit_models(rows.filter(F.col("split") == "train"), candidates, parallelism)
-    report = compare_models(models, rows.filter(F.col("split") == "validation"))
-    winner = report.select("model").first()[0]
+    """The best candidate (``select_model``) and its scorer; ``rows`` carry ``split``."""
+    winner, _ = select_model(rows, candidates, parallelism)
     return winner, refit(rows, candidates[winner], n_splits)

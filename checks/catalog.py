@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from clickloom.functions import bins, ordered, probability, storage, timeline
 from clickloom.operators import (
+    asof,
     behavior,
     catalog,
     evaluate,
@@ -661,6 +662,13 @@ def _(spark, d):
     )
 
 
+@query("x12_property_as_of_snapshots")
+def _(spark, d):
+    return asof.property_as_of_snapshots(
+        silver_of(spark, d), star_schema.item_properties(spark, d), ["categoryid", "brand", "type"]
+    )
+
+
 @query("x13_conversion_rates")
 def _(spark, d):
     counts = explore.visitor_event_counts(star_schema.click_events(spark, d))

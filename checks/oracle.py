@@ -650,6 +650,13 @@ SELECT itemid, property, timestamp, value FROM (
   SELECT *, row_number() OVER (PARTITION BY itemid, property
     ORDER BY timestamp DESC, value DESC) AS i
   FROM props WHERE timestamp < epoch_us(TIMESTAMP '2024-01-16')) WHERE i = 1"""
+    q["x12_property_as_of_snapshots"] = """
+SELECT a.itemid, a.snapshot_day, a.property, r.timestamp, r.value
+FROM (SELECT DISTINCT itemid, CAST(snapshot_day AS BIGINT) AS snapshot_day, property,
+        CAST(snapshot_day AS BIGINT) * 86400000000 AS day_start
+      FROM s, (SELECT unnest(['categoryid', 'brand', 'type']) AS property)) a
+ASOF LEFT JOIN props r
+  ON a.itemid = r.itemid AND a.property = r.property AND a.day_start > r.timestamp"""
     q["x13_conversion_rates"] = """
 SELECT transition, round(part * 100.0::DOUBLE / whole, 6) AS conversion_rate FROM (
   SELECT count(*) FILTER (view > 0) AS v, count(*) FILTER (addtocart > 0) AS a,

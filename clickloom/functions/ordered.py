@@ -1,4 +1,4 @@
-"""Running totals, ranks and exact quantiles over a globally ordered frame.
+"""Running totals and ranks over a globally ordered frame.
 
 A window without ``partitionBy`` would move every row into one task. Here the
 frame is range-partitioned by its order, each partition is summed on its own,
@@ -81,50 +81,5 @@ def running_totals(
     )
 
 
-def value_counts_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column name and distinct non-null value, with its count."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-            for c in columns
-        ]
-    )
-    return (
-        df.select(F.inline(pairs))
-        .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
 def quantile_label(prob: float) -> str:
     return "p" + f"{prob * 100:.6f}".rstrip("0").rstrip(".").replace(".", "_")
-
-
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact linearly interpolated quantiles, one row per column.
-
-    Values are collapsed to distinct value and count before they are ordered.
-    """
-    cum = running_totals(
-        value_counts_long(df, columns),
-        order=[F.col("value")],
-        sums={"cum": F.col("n")},
-        group=["column"],
-        totals=True,
-    )
-    at = {}
-    for prob in probs:
-        position = F.lit(float(prob)) * (F.col("cum_total") - 1)
-        low, high = F.floor(position), F.ceil(position)
-        name = quantile_label(prob)
-        at[f"{name}_lo"] = F.min(F.when(F.col("cum") >= low + 1, F.col("value")))
-        at[f"{name}_hi"] = F.min(F.when(F.col("cum") >= high + 1, F.col("value")))
-        at[f"{name}_fr"] = F.max(position - low)
-    ends = cum.groupBy("column").agg(*[expr.alias(n) for n, expr in at.items()])
-
-    def between(name: str) -> Column:
-        low, high = F.col(f"{name}_lo"), F.col(f"{name}_hi")
-        return (low + (high - low) * F.col(f"{name}_fr")).alias(name)
-
-    return ends.select("column", *[between(quantile_label(p)) for p in probs])

@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordered import exact_quantiles, quantile_label, running_totals
+from ..functions.ordered import quantile_label, running_totals
+from ..functions.radix import exact_quantiles
 from ..functions.storage import materialise
 
 # Reported thresholds and shares.

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.ordered import exact_quantiles, quantile_label
+from ..functions.ordered import quantile_label
+from ..functions.radix import exact_quantiles
 from ..functions.timeline import epoch_micros
 from ..schemas import ROOT_PARENT
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.functions import bins, ordered
+from clickloom.functions import bins, ordered, radix
 from clickloom.operators import catalog, explore
 from clickloom.sources import star_schema
 from frames import rows
@@ -72,7 +72,7 @@ def test_running_totals_split_the_rows(spark):
 
 def test_exact_quantiles_match_percentile(spark):
     df = spark.range(1001).select((F.xxhash64("id") % 500).alias("a"), F.lit(None).cast("int").alias("b"))
-    (row,) = ordered.exact_quantiles(df, ["a", "b"], [0.0, 0.25, 0.999, 1.0]).collect()
+    (row,) = radix.exact_quantiles(df, ["a", "b"], [0.0, 0.25, 0.999, 1.0]).collect()
     want = df.select(F.expr("percentile(a, array(0.0, 0.25, 0.999, 1.0))")).first()[0]
     assert list(row)[1:] == pytest.approx(want)
     assert ordered.quantile_label(0.999) == "p99_9"

@@ -847,7 +847,10 @@ JOIN (SELECT CAST(unnest([{_SHARES}]) AS DOUBLE) AS k)
   ON "rank" = greatest(1, ceil(n * k))"""
     q["e06_roc_points"] = """
 SELECT model, round(p, 6) AS threshold, round(fp / nn::DOUBLE, 6) AS fpr,
-  round(tp / np::DOUBLE, 6) AS tpr FROM curve
+  round(tp / np::DOUBLE, 6) AS tpr
+FROM (SELECT *, lag(p) OVER o IS NULL OR lead(p) OVER o IS NULL OR lead(pos) OVER o <> pos
+        OR lead(neg) OVER o <> neg AS turns
+      FROM curve WINDOW o AS (PARTITION BY model ORDER BY p DESC)) WHERE turns
 UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE FROM curve"""
     q["e07_precision_recall_points"] = """
 SELECT model, round(p, 6) AS threshold, round(tp / (tp + fp)::DOUBLE, 6) AS precision,

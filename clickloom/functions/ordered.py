@@ -26,12 +26,17 @@ def running_totals(
     group: Sequence[str] = (),
     rank: str | None = None,
     totals: bool = False,
+    following: Sequence[str] = (),
+    order_key: Column | None = None,
 ) -> DataFrame:
     """Add inclusive running sums over ``order``, per ``group``.
 
     ``order`` has to name a unique order inside a group; group columns must not
     be null. With ``rank`` a 1-based row number is added; with ``totals`` the
-    sum over the whole group is added as ``<name>_total``.
+    sum over the whole group is added as ``<name>_total``. With ``following`` a struct of
+    those columns in the next row of the group is added under that name, null in the last;
+    the first row of a partition is handed to the one before. ``order_key`` is then a single
+    ascending key of the same order.
     """
     sums = dict(sums)
     if rank:
@@ -50,7 +55,8 @@ def running_totals(
     )
 
     per_part = placed.groupBy(*group, _PART).agg(
-        *[F.sum(inputs[n]).alias(offsets[n]) for n in sums]
+        *[F.sum(inputs[n]).alias(offsets[n]) for n in sums],
+        *([F.min_by(F.struct(*following), order_key).alias("_first")] if following else []),
     )
     # At most one row per range partition and group.
     in_group = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
@@ -60,13 +66,12 @@ def running_totals(
         added[offsets[n]] = F.coalesce(F.sum(offsets[n]).over(before), F.lit(0))
         if totals:
             added[f"{n}_total"] = F.sum(offsets[n]).over(in_group)
+    if following:
+        added["_handed"] = F.lead("_first").over(in_group.orderBy(_PART))
     parts = per_part.select(*group, _PART, *[expr.alias(n) for n, expr in added.items()])
 
-    local = (
-        Window.partitionBy(*group, _PART)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    in_order = Window.partitionBy(*group, _PART).orderBy(*order)
+    local = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # One task per range partition. Hashing the partition number instead would put
     # several of them into one task and leave others idle.
     pairs, last_part = per_part.agg(F.count(F.lit(1)), F.max(_PART)).first()
@@ -74,10 +79,15 @@ def running_totals(
     if pairs <= BROADCAST_ROWS:
         parts = F.broadcast(parts)
     with_local = spread.withColumns({inputs[n]: F.sum(inputs[n]).over(local) for n in sums})
+    beyond = []
+    if following:
+        with_local = with_local.withColumn("_lead", F.lead(F.struct(*following)).over(in_order))
+        beyond = [F.coalesce("_lead", "_handed").alias("following")]
     return with_local.join(parts, on=[*group, _PART], how="left").select(
         *columns,
         *[(F.col(inputs[n]) + F.col(offsets[n])).alias(n) for n in sums],
         *([F.col(f"{n}_total") for n in sums] if totals else []),
+        *beyond,
     )
 
 

@@ -159,14 +159,33 @@ def ranking_analysis(
 
 
 def roc_points(
-    scored: DataFrame, label: str = "y", score: str = "p", group: Sequence[str] = ()
+    scored: DataFrame,
+    label: str = "y",
+    score: str = "p",
+    group: Sequence[str] = (),
+    drop_intermediate: bool = True,
 ) -> DataFrame:
-    """False and true positive rate at every distinct score, and the origin.
+    """False and true positive rate at the distinct scores, and the origin.
 
-    The origin has no threshold.
+    The origin has no threshold. With ``drop_intermediate`` a point is left out whose step is
+    that of the next one, as it lies on a straight line; the first and the last point stay,
+    and so does the area.
     """
-    curve = score_curve(scored, label, score, group)
-    points = curve.select(
+    curve = running_totals(
+        score_counts(scored, label, score, group),
+        order=[F.desc("score")],
+        sums={"tp": F.col("pos"), "fp": F.col("neg")},
+        group=group,
+        totals=True,
+        following=("pos", "neg"),
+        order_key=-F.col("score"),
+    )
+    points = curve
+    if drop_intermediate:
+        first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+        same = (F.col("following.pos") == F.col("pos")) & (F.col("following.neg") == F.col("neg"))
+        points = curve.filter(first | F.col("following").isNull() | ~same)
+    points = points.select(
         *group,
         F.col("score").alias("threshold"),
         F.try_divide(F.col("fp"), F.col("fp_total")).alias("fpr"),

@@ -7,6 +7,8 @@ travels as one row per input task instead of filling one window partition.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,10 +107,15 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def list_duplicates(df: DataFrame) -> DataFrame:
-    """Every copy of each row that occurs more than once."""
+def list_duplicates(
+    df: DataFrame, order: Sequence[str] = ("event_time", "timestamp", "visitorid", "itemid")
+) -> DataFrame:
+    """Every copy of each row that occurs more than once, sorted by ``order`` and then by the
+    other columns."""
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_COPIES))
-    return expand_copies(counted.filter(F.col(_COPIES) > 1), _COPIES)
+    first = [c for c in order if c in df.columns]
+    rest = [c for c in df.columns if c not in first]
+    return expand_copies(counted.filter(F.col(_COPIES) > 1), _COPIES).orderBy(*first, *rest)
 
 
 def duplicates_by(df: DataFrame, column: str = "event") -> DataFrame:

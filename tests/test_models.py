@@ -65,6 +65,37 @@ def test_area_below_the_points_is_the_auc(spark):
     assert (recall_end.precision, recall_end.recall) == (1.0, 0.0)
 
 
+def test_points_on_a_line_are_left_out(spark):
+    import random
+
+    for n, parts in ((1, 1), (2, 3), (60, 1), (400, 7)):
+        rng = random.Random(n)
+        data = [(int(rng.random() < (0.02 if k % 80 < 60 else 0.5)), k / n) for k in range(n)]
+        scored = spark.createDataFrame(data, "y int, p double").repartition(parts)
+        steps = [(y, 1 - y) for y, _ in reversed(data)]  # every score is its own point
+        kept = {k for k in range(n) if k in (0, n - 1) or steps[k] != steps[k + 1]}
+        thresholds = {data[n - 1 - k][1] for k in kept}
+        points = evaluate.roc_points(scored).filter("threshold IS NOT NULL").collect()
+        assert {r.threshold for r in points} == thresholds
+        every = evaluate.roc_points(scored, drop_intermediate=False).collect()
+        assert len(every) == n + 1
+
+
+def test_neighbours_are_handed_over_between_partitions(spark):
+    from clickloom.functions import ordered
+
+    df = spark.range(20_000).select("id", (F.col("id") % 3).alias("g"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = ordered.running_totals(
+        df, [F.asc("id")], {}, group=["g"], rank="rn", following=["id"], order_key=F.col("id")
+    )
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    wrong = got.filter(
+        F.coalesce(F.col("following.id") != F.col("id") + 3, F.col("id") + 3 < 20_000)
+    )
+    assert got.count() == 20_000 and wrong.count() == 0
+
+
 def test_small_share_selects_one_row(spark):
     scored = spark.range(50).select("id", (F.col("id") == 49).cast("int").alias("y"), (F.col("id") / 50.0).alias("p"))
     got = evaluate.ranking_analysis(scored, [0.001, 0.1])

@@ -276,4 +276,5 @@ def score(docs: DataFrame, known: Lexicon, keep: tuple[str, ...]) -> DataFrame:
     Null and empty texts have no hits and the score of a text without any.
     """
     found = _measured(docs, known, keep)
-    return found.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    predicted = (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    return found.select(*keep, "score", predicted, "weight", "n_hits", "n_words")

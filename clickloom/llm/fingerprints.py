@@ -67,9 +67,14 @@ class Fingerprint:
         """Of both texts taken together."""
         if self.scale != other.scale:
             raise ValueError("fingerprints of different scales")
-        return Fingerprint(
-            self.text_hash ^ other.text_hash, np.union1d(self.hashes, other.hashes), self.scale
-        )
+        hashes = np.union1d(self.hashes, other.hashes)
+        whole = self.text_hash
+        if whole != other.text_hash:
+            # The merged sketch stands for both texts; without one the two hashes do.
+            both = np.array(sorted((whole, other.text_hash)), "<u8")
+            named = hashes.astype("<u4") if len(hashes) else both
+            whole = xxhash.xxh3_64_intdigest(named.tobytes())
+        return Fingerprint(whole, hashes, self.scale)
 
     def shared(self, other: Fingerprint) -> int:
         return len(np.intersect1d(self.hashes, other.hashes, assume_unique=True))

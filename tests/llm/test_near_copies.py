@@ -248,3 +248,15 @@ def test_fingerprints_estimate_and_merge():
     assert str(Fingerprint.parse(str(fa))) == str(fa)
     half = fingerprints.edited(a, b)
     assert abs(fa.likeness(Fingerprint.of(half)) - 0.5) < 0.05
+
+
+def test_merging_a_text_with_itself_says_nothing_of_others():
+    texts = ["short", "other text", "Lorem ipsum dolor sit amet. " * 30, "Quite another text. " * 30]
+    own = [Fingerprint.of(t) for t in texts]
+    for f in own:
+        assert f.merge(f).likeness(f) == 1.0
+    for i, f in enumerate(own):
+        for g in own[:i]:
+            assert f.merge(f).likeness(g.merge(g)) < 0.1
+            assert f.merge(g).likeness(g.merge(f)) == 1.0
+    assert own[0].merge(own[1]).likeness(own[2].merge(own[3])) == 0.0

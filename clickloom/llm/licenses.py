@@ -136,16 +136,19 @@ def base_places(hits: Column) -> Column:
 
 
 def inverse_frequencies(found: DataFrame) -> dict[str, float]:
-    """ln((rows + 1) / (rows with the word + 1)) of every word of the vocabulary."""
+    """1 + ln((rows + 1) / (rows with the word + 1)) of every word of the vocabulary.
+
+    The constant keeps a weight on words that every row has.
+    """
     total = F.lit(found.count() + 1.0)
     counted = (
         found.filter("hits IS NOT NULL")
         .select(F.explode(F.array_distinct("hits.word")).alias("word"))
         .groupBy("word")
-        .agg(F.log(total / (F.count(F.lit(1)) + 1.0)).alias("idf"))
+        .agg((1.0 + F.log(total / (F.count(F.lit(1)) + 1.0))).alias("idf"))
     )
     known = {r["word"]: r["idf"] for r in counted.collect()}  # at most the vocabulary
-    most = found.sparkSession.range(1).select(F.log(total)).first()[0]
+    most = found.sparkSession.range(1).select(1.0 + F.log(total)).first()[0]
     return {w: known.get(w, most) for w in vocabulary()}
 
 

@@ -16,3 +16,10 @@ def test_every_licence_of_a_file_is_found(frame):
     assert found[1].labels == found[3].labels == every and found[1].score > 0.99
     assert found[2].labels == "bsd,cc-by-nc,mit"
     assert found[10].labels == "mit" and found[30].labels == "bsd" and found[50].labels == ""
+
+
+def test_a_licence_that_every_file_has(frame):
+    label, text, _ = licenses.TEMPLATES[1]
+    for n in (1, 20):
+        rows = licenses.scan(frame([(k, text.upper()) for k in range(n)], parts=2)).collect()
+        assert [r.labels for r in rows] == [label] * n and all(r.score == 1.0 for r in rows)

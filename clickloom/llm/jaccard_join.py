@@ -223,6 +223,8 @@ def boundary(passed: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> int:
 
 
 PARITY = [f"p{k}" for k in range(PARITY_BITS // 64)]
+#: The same bits folded to half as many, which is what rows of a list carry.
+FOLDED = [f"q{k}" for k in range(len(PARITY) // 2)]
 
 
 def fold(odd: np.ndarray, size: int) -> np.ndarray:
@@ -320,20 +322,24 @@ def _second_pass(
     return docs.select("text").mapInArrow(run, schema).dropDuplicates(["set_id"])
 
 
-def _possible(threshold: tuple[int, int]) -> Column:
+def _sizes_near(n: Column, other: Column, threshold: tuple[int, int]) -> Column:
+    num, den = threshold
+    return den * F.least(n, other) >= num * F.greatest(n, other)
+
+
+def _possible(threshold: tuple[int, int], parity: list[str] = PARITY) -> Column:
     """Exact filters on two sets, columns of the first with ``a_`` before their names: sizes,
     and shingles of only one set, of which each changes one bit."""
     num, den = threshold
     n, other = F.col("n"), F.col("a_n")
-    small, large = F.least(n, other), F.greatest(n, other)
-    apart = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(p))) for p in PARITY), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(p))) for p in parity), F.lit(0))
     # J >= num/den means at most (den - num) / (den + num) of both sizes are not shared.
     most = (den - num) * (n + other)
     # Few bits say nothing about large sets: these are compared on more.
     bits = F.zip_with("a_full", "full", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     further = F.aggregate(bits, F.lit(0), lambda s, x: s + x)
     return F.when(
-        (den * small >= num * large) & (apart * (den + num) <= most),
+        _sizes_near(n, other, threshold) & (apart * (den + num) <= most),
         F.coalesce(further * (den + num) <= most, F.lit(True)),
     ).otherwise(False)
 
@@ -408,18 +414,26 @@ def join(
     sets = materialise(_second_pass(plain, _levels(passed), edge, threshold, width))
     filters = ["n", "full", *PARITY]
 
-    filed = sets.select(F.explode("keys").alias("key"), "set_id", "ordinary")
-    most = F.max(F.struct("ordinary", "set_id"))
+    # One exchange by key: the pivots are found in it and joined back to it.
+    rank = F.col("ordinary").cast("long") * (1 << 40) + F.col("set_id").bitwiseAND((1 << 40) - 1)
+    filed = sets.select(F.explode("keys").alias("key"), "set_id", "n", rank.alias("rank"))
+    filed = filed.repartition("key")
     pivots = (
         filed.groupBy("key")
-        .agg(most["set_id"].alias("pivot"), F.count(F.lit(1)).alias("sets"))
+        .agg(
+            F.max_by("set_id", "rank").alias("pivot"),
+            F.max_by("n", "rank").alias("pivot_n"),
+            F.count(F.lit(1)).alias("sets"),
+        )
         .filter("sets > 1")
-        .select("key", "pivot")
+        .select("key", "pivot", "pivot_n")
     )
-    lists = materialise(filed.select("key", "set_id").join(pivots, "key"))
+    lists = materialise(filed.join(pivots, "key"))
 
     info = sets.select("set_id", *filters)
-    stars = lists.filter("set_id != pivot").select("set_id", "pivot").distinct()
+    like = _sizes_near(F.col("n"), F.col("pivot_n"), threshold)
+    stars = lists.filter((F.col("set_id") != F.col("pivot")) & like)
+    stars = stars.select("set_id", "pivot").distinct()
     one = stars.join(info, "set_id").select(
         F.col("set_id").alias("a"), F.col("pivot"), *[F.col(c).alias(f"a_{c}") for c in filters]
     )
@@ -431,7 +445,7 @@ def join(
 
     # Lists that still hold several components: only sets of different ones are compared.
     labelled = (
-        lists.select("key", "set_id")
+        lists.select("key", "set_id", "n")
         .join(labels.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
         .withColumn("component", F.coalesce("component", "set_id"))
     )
@@ -441,11 +455,17 @@ def join(
         .filter("low < high")
         .select("key")
     )
-    rest = materialise(labelled.join(mixed, "key", "left_semi").join(info, "set_id"))
+    half = len(FOLDED)
+    small = sets.select(
+        "set_id",
+        "full",
+        *[F.col(PARITY[k]).bitwiseXOR(F.col(PARITY[k + half])).alias(q) for k, q in enumerate(FOLDED)],
+    )
+    rest = materialise(labelled.join(mixed, "key", "left_semi").join(small, "set_id"))
     left = rest.select(*[F.col(c).alias(f"a_{c}") for c in rest.columns])
     apart = (F.col("a_set_id") < F.col("set_id")) & (F.col("a_component") != F.col("component"))
     near = (
-        left.join(rest, (F.col("a_key") == F.col("key")) & apart & _possible(threshold))
+        left.join(rest, (F.col("a_key") == F.col("key")) & apart & _possible(threshold, FOLDED))
         .select(F.col("a_set_id").alias("a"), F.col("set_id").alias("b"))
         .distinct()
     )

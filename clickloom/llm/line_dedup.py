@@ -1,19 +1,21 @@
 """Near-duplicate lines by a segment-partition edit join.
 
-Two lines within EDITS edits agree in one of EDITS + 1 segments of the shorter one, at a
-place that length and segment number narrow down to a few. Each distinct line files its own
-segments under (length, segment number, text) and probes the substrings at which a line of
-its own or a slightly smaller length could have such a segment. Lines that meet are verified
-with a bit-parallel edit distance restricted to a band of 2 * EDITS + 1 diagonals.
+Lines are near if their edit distance is at most the ``edits`` of the shorter one's length
+class. Such lines agree in one of ``edits + 1`` segments of the shorter one, at a place that
+length and segment number narrow down to a few. Each distinct line files its own segments
+under (length, segment number, text) and probes the substrings at which a line of its own or
+a slightly smaller length could have such a segment. Segments and substrings are hashed by
+differences of prefix sums, all lines of a length at once. Lines that meet are verified with
+a bit-parallel edit distance restricted to a band of ``2 * edits + 1`` diagonals.
 
 A line is dropped if an equal or near line stands earlier, by ``doc_id`` and place. Lines are
 compared without white space at their ends; blank lines stay and are not compared. Lines
-under SHORTEST code points have to be equal.
+shorter than every class have to be equal.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +26,26 @@ from pyspark.sql import types as T
 
 from clickloom.functions.storage import materialise
 
-from .common import keep_ids, slices, string_buffers
+from .common import keep_ids, mix64, slices, string_buffers
 
 EDITS = 2
 SHORTEST = 24
+#: Length classes: (least code points, edits), by rising length and edits.
+CLASSES = ((SHORTEST, EDITS),)
 #: Letter classes in a line id, and bits for the count of each, modulo 2 ** BAG_BITS.
 BAG_CLASSES, BAG_BITS = 12, 2
 KEY_BITS = 48
 SEEN_LINES = 200_000
 TEXT_AT_ONCE = 2 << 20
+#: Longer lines are hashed in blocks of so many code points, without prefix sums.
+LONG = 1 << 16
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = np.full(2 * LONG + 1, _BASE, np.uint64)
+_POWERS[0] = 1
+_POWERS = np.cumprod(_POWERS)
+_INVERSES = np.full(2 * LONG + 1, pow(_BASE, -1, 2**64), np.uint64)
+_INVERSES[0] = 1
+_INVERSES = np.cumprod(_INVERSES)
 
 
 def comparable(text: str) -> list[tuple[int, str]]:
@@ -40,15 +53,31 @@ def comparable(text: str) -> list[tuple[int, str]]:
     return [(k, s) for k, line in enumerate(text.split("\n")) if (s := line.strip())]
 
 
-def line_id(line: str) -> int:
-    """A hash whose upper bits count the letters by class, so that ids bound the distance."""
-    letters = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
-    counts = np.bincount(letters % BAG_CLASSES, minlength=BAG_CLASSES)
-    bag = 0
-    for c in counts.tolist():
-        bag = bag << BAG_BITS | c & ((1 << BAG_BITS) - 1)
+def letters_of(lines: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all lines, and where each begins (one more bound at the end)."""
+    letters = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
+    return letters, np.cumsum([0, *map(len, lines)])
+
+
+def line_ids(lines: Sequence[str]) -> np.ndarray:
+    """Hashes whose upper bits count the letters by class, so that ids bound the distance."""
+    letters, bounds = letters_of(lines)
+    rows = len(lines)
+    owner = np.repeat(np.arange(rows) * BAG_CLASSES, np.diff(bounds))
+    counts = np.bincount(owner + letters % BAG_CLASSES, minlength=rows * BAG_CLASSES)
+    counts = counts.reshape(rows, BAG_CLASSES).astype(np.uint64) & np.uint64((1 << BAG_BITS) - 1)
     low = 64 - BAG_CLASSES * BAG_BITS
-    return bag << low | xxhash.xxh3_64_intdigest(letters) >> (64 - low)
+    shifts = low + BAG_BITS * np.arange(BAG_CLASSES)[::-1]
+    bags = (counts << shifts.astype(np.uint64)).sum(axis=1, dtype=np.uint64)
+    raw, digest = letters.tobytes(), xxhash.xxh3_64_intdigest
+    ends = (4 * bounds).tolist()
+    hashes = np.array([digest(raw[a:b]) for a, b in zip(ends, ends[1:])], np.uint64)
+    return bags | hashes >> np.uint64(64 - low)
+
+
+def edits_of(length: int, classes: Sequence[tuple[int, int]] = CLASSES) -> int:
+    """Edits up to which a line counts as near to one that is not shorter."""
+    return max((edits for least, edits in classes if least <= length), default=0)
 
 
 def segments(length: int, edits: int = EDITS) -> list[tuple[int, int]]:
@@ -137,16 +166,17 @@ def _occurrences(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _texts(batches):
-            ids, checks, owners, numbers = [], [], [], []
+            lines, owners, numbers = [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                for number, line in comparable(text or ""):
-                    ids.append(line_id(line))
-                    checks.append(xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass")))
-                    owners.append(row)
-                    numbers.append(number)
+                own = comparable(text or "")
+                numbers += [number for number, _ in own]
+                lines += [line for _, line in own]
+                owners += [row] * len(own)
+            digest = xxhash.xxh64_intdigest
+            checks = [digest(line.encode("utf-8", "surrogatepass")) for line in lines]
             where = pa.array(owners, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [_signed(ids), _signed(checks)]
+                [pa.array(line_ids(lines).view(np.int64)), _signed(checks)]
                 + [batch.column(k).take(where) for k in ("doc_id", "text_hash")]
                 + [pa.array(numbers, pa.int32())],
                 names=["id", "check", "doc_id", "text_hash", "line"],
@@ -155,57 +185,112 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "id long, check long, doc_id long, text_hash long, line int")
 
 
-def _filed(docs: DataFrame) -> DataFrame:
-    """Keys under which lines are filed (``probe`` false) and looked up (true)."""
+Plan = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def plan_of(length: int, ask: bool, classes: Sequence[tuple[int, int]] = CLASSES) -> Plan:
+    """Seeds, starts and ends of what a line of this length files, or looks up (``ask``)."""
+    found: list[tuple[int, int, int]] = []
+    if ask:
+        for other in range(max(1, length - edits_of(length, classes)), length + 1):
+            edits = edits_of(other, classes)
+            if edits and length - other <= edits:
+                found += [(other << 8 | k, at, size) for k, at, size in probes(length, other, edits)]
+    elif edits := edits_of(length, classes):
+        found = [(length << 8 | k, at, size) for k, (at, size) in enumerate(segments(length, edits))]
+    seeds, at, size = np.array(found, np.int64).reshape(-1, 3).T
+    return seeds.astype(np.uint64), at, at + size
+
+
+def _values(letters: np.ndarray) -> np.ndarray:
+    return mix64(letters.astype(np.uint64) + np.uint64(1))
+
+
+def _hash(letters: np.ndarray) -> int:
+    """What ``keys_of`` takes from prefix sums, for one substring of any length."""
+    total, scale = 0, 1
+    for at in range(0, len(letters), LONG):
+        part = _values(letters[at : at + LONG])
+        total += scale * int((part * _POWERS[: len(part)]).sum(dtype=np.uint64))
+        scale = scale * pow(_BASE, LONG, 2**64) % 2**64
+    return total % 2**64
+
+
+def keys_of(
+    lines: Sequence[str], plans: dict[int, Plan]
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys of lines by their length's plan: rows (numbers of lines), and a line of keys each."""
+
+    def keys(hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+        return mix64(hashes + mix64(seeds)) & np.uint64((1 << KEY_BITS) - 1)
+
+    at = 0
+    while at < len(lines):
+        if len(lines[at]) > LONG:
+            seeds, starts, ends = plans[len(lines[at])]
+            own = letters_of(lines[at : at + 1])[0]
+            hashes = [_hash(own[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+            yield np.array([at]), keys(np.array(hashes, np.uint64), seeds).reshape(1, -1)
+            at += 1
+            continue
+        end, room = at, 2 * LONG
+        while end < len(lines) and len(lines[end]) <= min(room, LONG):
+            room -= len(lines[end])
+            end += 1
+        letters, bounds = letters_of(lines[at:end])
+        sums = np.zeros(len(letters) + 1, np.uint64)
+        np.cumsum(_values(letters) * _POWERS[: len(letters)], out=sums[1:])
+        lengths = np.diff(bounds)
+        order = np.argsort(lengths, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1):
+            seeds, starts, ends = plans[int(lengths[rows[0]])]
+            first = bounds[rows][:, None]
+            hashes = (sums[first + ends] - sums[first + starts]) * _INVERSES[first + starts]
+            yield at + rows, keys(hashes, seeds)
+        at = end
+
+
+def _filed(docs: DataFrame, ask: bool, classes: Sequence[tuple[int, int]]) -> DataFrame:
+    """Keys under which distinct lines are filed, or looked up (``ask``)."""
+    shortest = min((least for least, _ in classes), default=None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        steps: dict[int, list] = {}
-        mask = (1 << KEY_BITS) - 1
-        digest = xxhash.xxh3_64_intdigest
+        plans: dict[int, Plan] = {}
         for batch in _texts(batches):
-            keys: list[int] = []
-            ids: list[int] = []
-            asks: list[bool] = []
-            for text in batch.column("text").to_pylist():
-                for _, line in comparable(text or ""):
-                    n = len(line)
-                    if n < SHORTEST:
-                        continue
-                    own = line_id(line)
-                    if own in seen:  # only spares rows; copies elsewhere do no harm
-                        continue
-                    if len(seen) >= SEEN_LINES:
-                        seen.clear()
-                    seen.add(own)
-                    plan = steps.get(n)
-                    if plan is None:
-                        plan = [
-                            (False, n << 8 | k, at, at + size)
-                            for k, (at, size) in enumerate(segments(n))
-                        ]
-                        for other in range(max(SHORTEST, n - EDITS), n + 1):
-                            plan += [
-                                (True, other << 8 | k, at, at + size)
-                                for k, at, size in probes(n, other)
-                            ]
-                        steps[n] = plan
-                        if len(steps) > 5000:
-                            steps.clear()
-                    for ask, seed, start, end in plan:
-                        keys.append(digest(line[start:end], seed) & mask)
-                        asks.append(ask)
-                    ids += [own] * len(plan)
+            lines = [
+                line
+                for text in batch.column("text").to_pylist()
+                for _, line in comparable(text or "")
+                if shortest is not None and len(line) >= shortest
+            ]
+            names = line_ids(lines)
+            fresh: list[int] = []
+            for k, own in enumerate(names.tolist()):
+                if own in seen:  # only spares rows; copies elsewhere do no harm
+                    continue
+                if len(seen) >= SEEN_LINES:
+                    seen.clear()
+                seen.add(own)
+                fresh.append(k)
+            lines, names = [lines[k] for k in fresh], names[fresh]
+            if len(plans) > 5000:
+                plans.clear()
+            for n in {len(line) for line in lines} - plans.keys():
+                plans[n] = plan_of(n, ask, classes)
+            keys, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+            for rows, found in keys_of(lines, plans):
+                keys.append(found.ravel())
+                ids.append(np.repeat(names[rows], found.shape[1]))
             yield pa.RecordBatch.from_arrays(
-                [_signed(keys), _signed(ids), pa.array(asks, pa.bool_())],
-                names=["key", "id", "probe"],
+                [pa.array(np.concatenate(x).view(np.int64)) for x in (keys, ids)], names=["key", "id"]
             )
 
-    return docs.select("text").mapInArrow(run, "key long, id long, probe boolean")
+    return docs.select("text").mapInArrow(run, "key long, id long")
 
 
-def _bags_near(a: Column, b: Column) -> Column:
-    """A lower bound of the letter difference is at most 2 * EDITS: a replaced letter changes
+def _bags_near(a: Column, b: Column, edits: int) -> Column:
+    """A lower bound of the letter difference is at most 2 * edits: a replaced letter changes
     two counts by one, one put in or left out changes one."""
     low, top = 64 - BAG_CLASSES * BAG_BITS, (1 << BAG_BITS) - 1
     total = F.lit(0)
@@ -213,16 +298,18 @@ def _bags_near(a: Column, b: Column) -> Column:
         shift = low + k * BAG_BITS
         apart = (F.shiftrightunsigned(a, shift) - F.shiftrightunsigned(b, shift)).bitwiseAND(top)
         total = total + F.least(apart, F.lit(top + 1) - apart)
-    return total <= 2 * EDITS
-
-
-def close_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Pairs of ids of different lines within EDITS edits, each once (``a`` < ``b``)."""
-    spark = docs.sparkSession
-    filed = _filed(docs)
-    index = filed.filter("NOT probe").select("key", F.col("id").alias("own"))
-    asked = filed.filter("probe").select("key", F.col("id").alias("other"))
-    met = (F.col("own") != F.col("other")) & _bags_near(F.col("own"), F.col("other"))
+    return total <= 2 * edits
+
+
+def close_lines(
+    docs: DataFrame, firsts: DataFrame, classes: Sequence[tuple[int, int]] = CLASSES
+) -> DataFrame:
+    """Pairs of ids of different lines that are near, each once (``a`` < ``b``)."""
+    most = max((edits for _, edits in classes), default=0)
+    shortest = min((least for least, _ in classes), default=0)
+    index = _filed(docs, False, classes).withColumnRenamed("id", "own")
+    asked = _filed(docs, True, classes).withColumnRenamed("id", "other")
+    met = (F.col("own") != F.col("other")) & _bags_near(F.col("own"), F.col("other"), most)
     candidates = materialise(
         index.join(asked, (index["key"] == asked["key"]) & met)
         .select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
@@ -234,13 +321,12 @@ def close_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _texts(batches):
-            ids, lines = [], []
+            lines: list[str] = []
             for text in batch.column("text").to_pylist():
-                own = [line for _, line in comparable(text or "") if len(line) >= SHORTEST]
-                ids += [line_id(line) for line in own]
-                lines += own
+                lines += [line for _, line in comparable(text or "") if len(line) >= shortest]
+            ids = pa.array(line_ids(lines).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [_signed(ids), pa.array(lines, pa.string())], names=["id", "content"]
+                [ids, pa.array(lines, pa.string())], names=["id", "content"]
             )
 
     held = keep_ids(docs.filter("doc_id IS NOT NULL"), holders).select("text")
@@ -255,7 +341,8 @@ def close_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = zip(batch.column("left").to_pylist(), batch.column("right").to_pylist())
-            near = pa.array([within(a, b) for a, b in both], pa.bool_())
+            near = [within(a, b, edits_of(min(len(a), len(b)), classes)) for a, b in both]
+            near = pa.array(near, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(near), batch.column("b").filter(near)], names=["a", "b"]
             )
@@ -265,13 +352,22 @@ def close_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     return candidates.join(left, "a").join(right, "b").mapInArrow(verify, "a long, b long")
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, classes: Sequence[tuple[int, int]] = CLASSES) -> DataFrame:
     """``docs`` with the deduplicated ``text``, and ``n_lines``, ``n_dropped`` (not blank ones).
 
+    ``classes`` are the edits allowed by the length of the shorter line: ``(least code points,
+    edits)``; without any, only equal lines are dropped. More edits cost more probes, about the
+    cube of their number.
+
     Null ids stand after all others. Rows equal in ``doc_id`` and text are one document, and
     each keeps what that document keeps. A null text stays null; other columns pass through,
-    also if one is called like a column that is added, which then replaces it.
+    whatever their names; ``n_lines`` and ``n_dropped`` of the input are replaced.
     """
+    classes = sorted((int(least), int(edits)) for least, edits in classes)
+    if any(edits >= least or edits < 1 for least, edits in classes):
+        raise ValueError("edits have to be at least 1 and below the length of their class")
+    if [e for _, e in classes] != sorted(e for _, e in classes):
+        raise ValueError("edits may not fall with length")
     hashed = F.xxhash64("text")
     plain = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), hashed.alias("text_hash"), "text"
@@ -285,7 +381,7 @@ def dedup(docs: DataFrame) -> DataFrame:
         .agg(F.min(place).alias("first"))
         .select("id", "check", "first", "first.doc_id", "first.text_hash", "first.line")
     )
-    pairs = close_lines(plain, firsts)
+    pairs = close_lines(plain, firsts, classes)
     at = firsts.groupBy("id").agg(F.min("first").alias("first"))
     later = (
         pairs.join(at.select(F.col("id").alias("a"), F.col("first").alias("_a")), "a")
@@ -295,23 +391,27 @@ def dedup(docs: DataFrame) -> DataFrame:
     )
     kept = (
         firsts.join(materialise(later), "id", "left_anti")
-        .groupBy(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"))
-        .agg(F.collect_list("line").alias("_kept"))
+        .groupBy("doc_id", "text_hash")
+        .agg(F.collect_list("line").alias("kept"))
     )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (
-        hashed == F.col("_text_hash")
+    # The row travels as one column, so that none of its names can clash.
+    rest = [F.col(c) for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    whole = docs.select(
+        F.col("doc_id").cast("long").alias("owner"),
+        hashed.alias("hash"),
+        "text",
+        F.struct(*rest).alias("row"),
     )
-    rows = docs.drop("n_lines", "n_dropped").join(kept, same, "left")
-    rows = rows.drop("_doc_id", "_text_hash")
-    names = [c for c in rows.columns if c != "_kept"]
-    schema = T.StructType([rows.schema[c] for c in names])
+    same = F.col("owner").eqNullSafe(kept["doc_id"]) & (F.col("hash") == kept["text_hash"])
+    rows = whole.join(kept, same, "left").select("row", "text", "kept")
+    schema = T.StructType([rows.schema["row"], rows.schema["text"]])
     schema = schema.add("n_lines", T.LongType()).add("n_dropped", T.LongType())
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _texts(batches):
             texts, lines, dropped = [], [], []
             for text, numbers in zip(
-                batch.column("text").to_pylist(), batch.column("_kept").to_pylist()
+                batch.column("text").to_pylist(), batch.column("kept").to_pylist()
             ):
                 compared = {k for k, _ in comparable(text or "")}
                 gone = compared - set(numbers or ())
@@ -320,11 +420,15 @@ def dedup(docs: DataFrame) -> DataFrame:
                 texts.append(text)
                 lines.append(len(compared))
                 dropped.append(len(gone))
-            columns = {c: batch.column(c) for c in names} | {"text": pa.array(texts, pa.string())}
             yield pa.RecordBatch.from_arrays(
-                [columns[c] for c in names]
+                [batch.column("row"), pa.array(texts, pa.string())]
                 + [pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())],
-                names=[*names, "n_lines", "n_dropped"],
+                names=["row", "text", "n_lines", "n_dropped"],
             )
 
-    return rows.mapInArrow(rebuild, schema)
+    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return rows.mapInArrow(rebuild, schema).select(
+        *["text" if c == "text" else F.col("row").getField(c).alias(c) for c in names],
+        "n_lines",
+        "n_dropped",
+    )

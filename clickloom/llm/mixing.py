@@ -145,9 +145,10 @@ def plan(
 def take(docs: DataFrame, planned: DataFrame) -> DataFrame:
     """Rows of ``docs``, each as often as planned."""
     used = planned.filter("epochs > 0").select("doc_id", "text_hash", "epochs")
-    used = used.withColumnsRenamed({c: f"_{c}" for c in used.columns})
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (
-        F.xxhash64("text") == F.col("_text_hash")
+    # The row travels as one column, so that none of its names can clash.
+    rows = docs.select(
+        F.col("doc_id").alias("owner"), F.xxhash64("text").alias("hash"), F.struct("*").alias("row")
     )
-    often = docs.join(used, same).withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_epochs"))))
-    return often.select(*docs.columns)
+    same = F.col("owner").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
+    often = rows.join(used, same).select("row", F.explode(F.sequence(F.lit(1), F.col("epochs"))))
+    return often.select("row.*")

@@ -63,9 +63,10 @@ def near_copies(
     ship(spark)
     joined = jaccard_join.join(docs, threshold, width)
     first = joined.filter("doc_id = component_id").select("doc_id").distinct()
-    whole = docs.withColumn("_hash", F.xxhash64("text"))
-    single = whole.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "_hash"])
-    return single.drop("_hash").select(*docs.columns).union(docs.filter("doc_id IS NULL"))
+    # The row travels as one column, so that none of its names can clash.
+    whole = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.struct("*").alias("row"))
+    single = whole.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "hash"])
+    return single.select("row.*").union(docs.filter("doc_id IS NULL"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -219,7 +219,7 @@ def _hash(letters: np.ndarray) -> int:
 def keys_of(
     lines: Sequence[str], plans: dict[int, Plan]
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Keys of lines by their length's plan: rows (numbers of lines), and a line of keys each."""
+    """Keys of lines by their length's plan: for each key the number of its line, and the key."""
 
     def keys(hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
         return mix64(hashes + mix64(seeds)) & np.uint64((1 << KEY_BITS) - 1)
@@ -230,7 +230,7 @@ def keys_of(
             seeds, starts, ends = plans[len(lines[at])]
             own = letters_of(lines[at : at + 1])[0]
             hashes = [_hash(own[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
-            yield np.array([at]), keys(np.array(hashes, np.uint64), seeds).reshape(1, -1)
+            yield np.full(len(seeds), at), keys(np.array(hashes, np.uint64), seeds)
             at += 1
             continue
         end, room = at, 2 * LONG
@@ -240,13 +240,17 @@ def keys_of(
         letters, bounds = letters_of(lines[at:end])
         sums = np.zeros(len(letters) + 1, np.uint64)
         np.cumsum(_values(letters) * _POWERS[: len(letters)], out=sums[1:])
-        lengths = np.diff(bounds)
-        order = np.argsort(lengths, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1):
-            seeds, starts, ends = plans[int(lengths[rows[0]])]
-            first = bounds[rows][:, None]
-            hashes = (sums[first + ends] - sums[first + starts]) * _INVERSES[first + starts]
-            yield at + rows, keys(hashes, seeds)
+        # Plans of all lengths in one table; each line takes the rows of its own length.
+        lengths, own = np.unique(np.diff(bounds), return_inverse=True)
+        used = [plans[n] for n in lengths.tolist()]
+        seeds, starts, ends = (np.concatenate(x) for x in zip(*used))
+        sizes = np.array([len(x[0]) for x in used])
+        places, each = np.cumsum(sizes) - sizes, sizes[own]
+        rows = np.repeat(np.arange(end - at), each)
+        taken = np.arange(len(rows)) + np.repeat(places[own] - (np.cumsum(each) - each), each)
+        first = bounds[rows] + starts[taken]
+        hashes = (sums[bounds[rows] + ends[taken]] - sums[first]) * _INVERSES[first]
+        yield at + rows, keys(hashes, seeds[taken])
         at = end
 
 
@@ -280,8 +284,8 @@ def _filed(docs: DataFrame, ask: bool, classes: Sequence[tuple[int, int]]) -> Da
                 plans[n] = plan_of(n, ask, classes)
             keys, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
             for rows, found in keys_of(lines, plans):
-                keys.append(found.ravel())
-                ids.append(np.repeat(names[rows], found.shape[1]))
+                keys.append(found)
+                ids.append(names[rows])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(x).view(np.int64)) for x in (keys, ids)], names=["key", "id"]
             )

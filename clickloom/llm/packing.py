@@ -10,8 +10,9 @@ their length by rank, in Spark.
 
 from __future__ import annotations
 
+import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,70 +26,105 @@ from clickloom.functions.storage import materialise
 from .common import slices, string_buffers
 from .tokens import tokenizer
 
-STEP = 1.0  # share of the scarcest length that one configuration covers per round
-SHARPNESS = 2.0  # of the weights
-PREMIUM = 0.02  # most that a weight adds to the price of room
-PRICED = 256  # least covered lengths that the pricing looks at
-WASTE = 0.001  # of a sequence; a configuration that leaves more free ends the program
+TILT = 0.05  # that a whole sequence adds to the price of room: large pieces go first
+WASTE = 0.001  # of a sequence that a priced configuration may leave free
+GAP = 0.001  # above the proven bound; the coarse program is kept if it stays within
+PRICED = 256  # least covered lengths priced first; twice as many while these leave waste
 PROGRAMS = 3  # times the program is solved again over what rounding left
 TEXT_AT_ONCE = 2 << 20
 
 
-def best_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray:
-    """Multiplicities of the knapsack with the highest total price."""
+@dataclass(frozen=True)
+class Pace:
+    """How fast the weights of a program move."""
+
+    step: float  # most of the scarcest length that one configuration covers per round
+    rounds: int  # as small a step that the lengths take about so many
+    fall: float  # of a weight's logarithm with a step
+    premium: float | None  # most that a weight adds to the price of room; None: it is the price
+
+
+#: Full sequences have lengths as dual prices, so a small premium is enough.
+COARSE = Pace(1.0, 1, 2.0, 0.02)
+#: Dual prices from the weights alone, where lengths do not fill sequences up.
+FINE = Pace(0.25, 512, 0.5, None)
+
+
+def best_configuration(
+    lengths: np.ndarray, prices: np.ndarray, counts: np.ndarray, capacity: int
+) -> np.ndarray:
+    """Multiplicities, none above its count, of the knapsack with the highest total price."""
+    copies: list[tuple[int, int]] = []
+    for k, most in enumerate(np.minimum(counts, capacity // lengths).tolist()):
+        pieces = 1
+        while most > 0:  # any number up to ``most`` is a sum of these
+            copies.append((k, min(pieces, most)))
+            most, pieces = most - pieces, 2 * pieces
+    copies.reverse()  # of equal prices the longer lengths stay
     best = np.zeros(capacity + 1)
-    last = np.full(capacity + 1, -1)
-    reach = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for room in range(int(lengths[0]), capacity + 1):
-        worth = best[room - lengths[: reach[room]]] + prices[: reach[room]]
-        k = int(worth.argmax())
-        if worth[k] > best[room - 1]:
-            best[room], last[room] = worth[k], k
-        else:
-            best[room], last[room] = best[room - 1], -1
-    taken, room = np.zeros(len(lengths), np.int64), capacity
-    while room >= lengths[0]:
-        k = last[room]
-        if k < 0:
-            room -= 1
-        else:
-            taken[k] += 1
-            room -= int(lengths[k])
-    return taken
+    taken = np.zeros((len(copies), capacity + 1), bool)
+    for row, (k, pieces) in zip(taken, copies):
+        size = pieces * int(lengths[k])
+        worth = best[:-size] + pieces * prices[k]
+        np.greater(worth, best[size:], out=row[size:])
+        np.maximum(worth, best[size:], out=best[size:])
+    out, room = np.zeros(len(lengths), np.int64), capacity
+    for row, (k, pieces) in zip(taken[::-1], copies[::-1]):
+        if row[room]:
+            out[k] += pieces
+            room -= pieces * int(lengths[k])
+    return out
 
 
-def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[float, np.ndarray]]:
-    """Configurations with fractional counts, until lengths are covered or no longer fill up.
+def fractional(
+    lengths: np.ndarray, counts: np.ndarray, capacity: int, pace: Pace, full: bool = False
+) -> tuple[list[tuple[float, np.ndarray]], float]:
+    """Configurations with fractional counts that cover every length, and a lower bound.
 
-    If all sequences are full, the dual prices are the lengths themselves; the weights,
-    which fall with coverage, add a small premium so that no length is left behind.
+    A length's weight falls with its coverage; the best-priced knapsack is raised until
+    it covers a share of its scarcest length. Prices of all open lengths over the worth
+    of that knapsack are a feasible dual solution, hence the bound. ``full`` ends the
+    program where no priced configuration is full any more.
     """
-    covered = np.zeros(len(lengths))
+    covered, step = np.zeros(len(lengths)), min(pace.step, len(lengths) / pace.rounds)
     mixed = np.random.default_rng(0).permutation(len(lengths))  # ties spread over the sizes
-    found: list[tuple[float, np.ndarray]] = []
-    while (open_ := mixed[covered[mixed] < 1]).size:
-        least = np.argsort(covered[open_], kind="stable")[:PRICED]
-        priced = np.sort(open_[least])
-        weight = np.exp(-SHARPNESS * (covered[priced] - covered[priced].min()))
-        prices = lengths[priced] * (1 + PREMIUM * weight)
-        taken = best_configuration(lengths[priced], prices, capacity)
-        if int(taken @ lengths[priced]) < (1 - WASTE) * capacity:
-            break
+    found: dict[bytes, tuple[float, np.ndarray]] = {}
+    bound = float(lengths @ counts) / capacity
+    while (open_ := mixed[covered[mixed] < 1 - 1e-9]).size:
+        least = open_[np.argsort(covered[open_], kind="stable")]
+        some = 0
+        while some < len(least):
+            some = min(max(PRICED, 2 * some), len(least))
+            priced = np.sort(least[:some])
+            weight = np.exp(-pace.fall / step * (covered[priced] - covered[priced].min()))
+            large = TILT * lengths[priced] / capacity
+            prices = lengths[priced] * (
+                weight + large if pace.premium is None else 1 + pace.premium * weight + large
+            )
+            taken = best_configuration(lengths[priced], prices, counts[priced], capacity)
+            if int(taken @ lengths[priced]) >= (1 - WASTE) * capacity:
+                break
+        else:
+            if full:
+                break
+        if some == len(least):
+            bound = max(bound, float(counts[priced] @ prices) / float(taken @ prices))
         used = np.flatnonzero(taken)
-        times = float((STEP * counts[priced[used]] / taken[used]).min())
+        times = float((step * counts[priced[used]] / taken[used]).min())
         whole = np.zeros(len(lengths), np.int64)
         whole[priced] = taken
-        found.append((times, whole))
         covered[priced] += taken * times / counts[priced]
-    return found
+        key = whole.tobytes()
+        found[key] = (found[key][0] + times if key in found else times, whole)
+    return list(found.values()), bound
 
 
-def configurations(histogram: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
-    """How many sequences of which lengths: ``(sequences, {length: pieces in each})``."""
+def solve(
+    histogram: dict[int, int], capacity: int, pace: Pace, full: bool
+) -> tuple[list[tuple[int, dict[int, int]]], float]:
+    """Whole configurations of the rounded program, and its lower bound on sequences."""
     out: list[tuple[int, dict[int, int]]] = []
-    if histogram.get(capacity):
-        out.append((histogram[capacity], {capacity: 1}))
-    left = {k: v for k, v in histogram.items() if v and k < capacity}
+    left, bound = dict(histogram), 0.0
 
     def apply(times: int, taken: dict[int, int]) -> None:
         out.append((times, taken))
@@ -97,16 +133,27 @@ def configurations(histogram: dict[int, int], capacity: int) -> list[tuple[int,
             if not left[length]:
                 del left[length]
 
-    for _ in range(PROGRAMS):
-        if sum(left.values()) < 4 * len(left):  # too few of each for fractions to round
+    # Full sequences first, as often as rounding leaves some; then whatever fits best.
+    for number in range(PROGRAMS + (not full)):
+        if not left:
             break
         lengths = np.array(sorted(left))
         counts = np.array([left[k] for k in lengths.tolist()])
-        for times, taken in sorted(fractional(lengths, counts, capacity), key=lambda x: -x[0]):
+        found, proven = fractional(
+            lengths, counts, capacity, pace, full=full or number < PROGRAMS
+        )
+        bound = bound if number else proven
+        for times, taken in sorted(found, key=lambda x: -x[0]):
             pieces = {int(lengths[k]): int(taken[k]) for k in np.flatnonzero(taken)}
-            whole = min([int(times), *(left.get(k, 0) // v for k, v in pieces.items())])
+            whole = min([int(times + 1e-6), *(left.get(k, 0) // v for k, v in pieces.items())])
             if whole:
                 apply(whole, pieces)
+    fill(left, capacity, apply)
+    return out, bound
+
+
+def fill(left: dict[int, int], capacity: int, apply: Callable[[int, dict[int, int]], None]) -> None:
+    """Pieces left by rounding, largest first."""
     while left:
         lengths = np.array(sorted(left))
         room, taken = capacity, {}
@@ -133,7 +180,25 @@ def configurations(histogram: dict[int, int], capacity: int) -> list[tuple[int,
             taken[length] = taken.get(length, 0) + 1
             room -= length
         apply(min(left[k] // v for k, v in taken.items()), taken)
-    return out
+
+
+def configurations(histogram: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
+    """How many sequences of which lengths: ``(sequences, {length: pieces in each})``.
+
+    A program's sequences are kept when they come within ``GAP`` of a proven lower bound,
+    else the next one's are compared: full sequences alone with the rest filled in, then
+    a program that also covers what fills no sequence, then finer weights.
+    """
+    wanted = {k: v for k, v in histogram.items() if v}
+    best, bound = [], 0.0
+    for pace, full in ((COARSE, True), (COARSE, False), (FINE, False)):
+        found, proven = solve(wanted, capacity, pace, full)
+        bound = max(bound, proven)
+        if not best or sum(n for n, _ in found) < sum(n for n, _ in best):
+            best = found
+        if sum(n for n, _ in best) <= math.ceil(bound - 1e-6) * (1 + GAP):
+            break
+    return best
 
 
 @dataclass

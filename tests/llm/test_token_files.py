@@ -1,5 +1,6 @@
 """Token files and packing against plain encoding by the library."""
 
+import functools
 import zlib
 from collections import Counter
 
@@ -139,6 +140,52 @@ def test_large_histogram_is_packed_closely():
     assert used <= 1.005 * -(-int(lengths.sum()) // 2048)
 
 
+def fewest(histogram, capacity):
+    """Optimum of a small instance by search over what fits into the next sequence."""
+    lengths = sorted(histogram, reverse=True)
+
+    @functools.cache
+    def rest(counts):
+        if not any(counts):
+            return 0
+        found = []
+
+        def choose(k, room, left):
+            if k == len(lengths):
+                if not any(n and lengths[i] <= room for i, n in enumerate(left)):
+                    found.append(left)
+                return
+            for n in range(min(left[k], room // lengths[k]) + 1):
+                choose(k + 1, room - n * lengths[k], (*left[:k], left[k] - n, *left[k + 1 :]))
+
+        first = next(i for i, n in enumerate(counts) if n)  # the largest goes into this sequence
+        choose(first, capacity - lengths[first],
+               (*counts[:first], counts[first] - 1, *counts[first + 1 :]))
+        return 1 + min(rest(x) for x in set(found))
+
+    return rest(tuple(histogram[k] for k in lengths))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(3, 20), st.integers(1, 4), min_size=1, max_size=4))
+def test_packing_against_the_optimum(histogram):
+    best = fewest(histogram, 20)
+    used = sum(times for times, _ in packing.configurations(histogram, 20))
+    assert best <= used <= best + 1
+
+
+@pytest.mark.parametrize("n", [1, 7, 1_000, 1_000_000])
+def test_lengths_that_fill_no_sequence(n):
+    found = packing.configurations({900: n, 620: n, 500: n}, 2048)
+    assert found == [(n, {500: 1, 620: 1, 900: 1})]
+
+
+def test_every_length_has_few_pieces():
+    histogram = dict.fromkeys(range(300, 1400, 7), 50)
+    bound = -(-sum(k * v for k, v in histogram.items()) // 2048)
+    assert sum(times for times, _ in packing.configurations(histogram, 2048)) <= 1.005 * bound
+
+
 def test_empty_table(frame):
     assert packing.pack(frame([]), BYTE, 0).count() == 0
     assert token_file.round_trip(frame([]), WORD, 2).count() == 0

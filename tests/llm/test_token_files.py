@@ -67,6 +67,68 @@ def test_every_id_is_addressable(ids):
     assert [file.get(i) for i in range(len(ids))] == ids.tolist()
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 49_151), min_size=1, max_size=3000), st.data())
+def test_any_range_of_ids(ids, data):
+    array = np.array(ids, np.uint32)
+    file = token_file.TokenFile(
+        token_file.encode(array, np.array([0, len(ids)]), np.array([1]), np.array([True]))
+    )
+    first = data.draw(st.integers(0, len(ids)))
+    last = data.draw(st.integers(first, len(ids)))
+    assert file.ids(first, last).tolist() == ids[first:last]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2**20), min_size=1, max_size=60))
+def test_widths_are_the_cheapest(ids):
+    def cost(widths):
+        rest, total = ids, 0.0
+        for width in widths:
+            total += len(rest) * (width + 1 + 64 / token_file.RANK_BITS)
+            rest = [x >> width for x in rest if x >> width]
+        return total if not rest else float("inf")
+
+    def every(bits):
+        if bits <= 0:
+            yield ()
+            return
+        for width in range(1, min(token_file.WIDEST, bits) + 1):
+            for others in every(bits - width):
+                yield (width, *others)
+
+    bits = min(max(x.bit_length() for x in ids), 12)
+    ids = [x & ((1 << bits) - 1) for x in ids]
+    got = token_file.chunk_widths(np.array(ids, np.uint32))
+    assert cost(got) == pytest.approx(min(cost(w) for w in every(max(bits, 1))))
+
+
+class Counting:
+    """Bytes fetched from a source."""
+
+    def __init__(self, data):
+        self.data, self.fetched = data, 0
+
+    def read_at(self, size, place):
+        self.fetched += size
+        return self.data[place : place + size]
+
+
+def test_one_token_needs_few_bytes():
+    rng = np.random.default_rng(3)
+    ids = np.minimum(rng.zipf(1.2, 400_000) - 1, 49_151).astype(np.uint32)
+    data = token_file.encode(ids, np.array([0, len(ids)]), np.array([1]), np.array([True]))
+    source = Counting(data)
+    file = token_file.TokenFile(source)
+    assert len(file.levels) > 1 and file.levels[1].count > 0
+    assert len(data) < 2 * len(ids)
+    for position in rng.integers(0, len(ids), 300).tolist():
+        source.fetched = 0
+        assert file.get(position) == ids[position]
+        assert source.fetched <= len(file.levels) * (3 + 1 + 8 + token_file.RANK_BITS // 8)
+    assert (file.all() == ids).all()
+
+
 def test_round_trip(texts, clashing):
     rows = texts + [texts[0], (None, "no id")]
     got = token_file.round_trip(clashing(rows), WORD, end_id=2).collect()

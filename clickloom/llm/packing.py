@@ -61,13 +61,15 @@ def best_configuration(
             copies.append((k, min(pieces, most)))
             most, pieces = most - pieces, 2 * pieces
     copies.reverse()  # of equal prices the longer lengths stay
-    best = np.zeros(capacity + 1)
+    best, worth = np.zeros(capacity + 1), np.zeros(capacity + 1)
     taken = np.zeros((len(copies), capacity + 1), bool)
+    long, price = lengths.tolist(), prices.tolist()
     for row, (k, pieces) in zip(taken, copies):
-        size = pieces * int(lengths[k])
-        worth = best[:-size] + pieces * prices[k]
-        np.greater(worth, best[size:], out=row[size:])
-        np.maximum(worth, best[size:], out=best[size:])
+        size = pieces * long[k]
+        with_it, without = worth[size:], best[size:]
+        np.add(best[:-size], pieces * price[k], with_it)
+        np.greater(with_it, without, row[size:])
+        np.maximum(with_it, without, without)
     out, room = np.zeros(len(lengths), np.int64), capacity
     for row, (k, pieces) in zip(taken[::-1], copies[::-1]):
         if row[room]:
@@ -89,12 +91,12 @@ def fractional(
     covered, step = np.zeros(len(lengths)), min(pace.step, len(lengths) / pace.rounds)
     mixed = np.random.default_rng(0).permutation(len(lengths))  # ties spread over the sizes
     found: dict[bytes, tuple[float, np.ndarray]] = {}
-    bound = float(lengths @ counts) / capacity
+    bound, enough = float(lengths @ counts) / capacity, PRICED
     while (open_ := mixed[covered[mixed] < 1 - 1e-9]).size:
         least = open_[np.argsort(covered[open_], kind="stable")]
-        some = 0
+        some, enough = 0, max(PRICED, enough // 2)
         while some < len(least):
-            some = min(max(PRICED, 2 * some), len(least))
+            some = min(max(enough, 2 * some), len(least))
             priced = np.sort(least[:some])
             weight = np.exp(-pace.fall / step * (covered[priced] - covered[priced].min()))
             large = TILT * lengths[priced] / capacity
@@ -103,6 +105,7 @@ def fractional(
             )
             taken = best_configuration(lengths[priced], prices, counts[priced], capacity)
             if int(taken @ lengths[priced]) >= (1 - WASTE) * capacity:
+                enough = some
                 break
         else:
             if full:

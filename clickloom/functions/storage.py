@@ -5,10 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_made: list[str] = []
+#: Paths of the innermost open scope; a thread has its own.
+_made: ContextVar[list[str] | None] = ContextVar("_made", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,7 +31,9 @@ def shared_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path for one new table under the shared folder."""
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _made.append(path)
+    own = _made.get()
+    if own is not None:
+        own.append(path)
     return path
 
 
@@ -50,14 +54,16 @@ def materialise(df: DataFrame) -> DataFrame:
 def scope(spark: SparkSession) -> Iterator[None]:
     """Remove at the end what was stored inside.
 
-    A result has to be read or written before the scope ends.
+    A result has to be read or written before the scope ends. Scopes can be nested, and
+    open at the same time in several threads: each removes only its own tables.
     """
-    first = len(_made)
+    own: list[str] = []
+    outer = _made.set(own)
     try:
         yield
     finally:
+        _made.reset(outer)
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         configuration = spark.sparkContext._jsc.hadoopConfiguration()
-        while len(_made) > first:
-            path = hadoop.Path(_made.pop())
+        for path in map(hadoop.Path, reversed(own)):
             path.getFileSystem(configuration).delete(path, True)

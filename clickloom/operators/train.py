@@ -37,6 +37,9 @@ SEED = 42
 # a full tree with so many leaves, the nearest parameter there is. A forest without a
 # limit takes the deepest tree that Spark grows.
 MAX_DEPTH = 30
+# Trees are grown by one job a level, so a boosted fit has thousands of short jobs. Rows of
+# one task: so many where that is up to FEW_TASKS, beyond that so many as MOST_ROWS.
+LEAST_ROWS, FEW_TASKS, MOST_ROWS = 1 << 17, 4, 1 << 19
 BASELINES: dict[str, tuple[str, dict[str, Any]]] = {
     "Baseline Logistic Regression": ("logistic", {"C": 1.0, "positive_weight": 12}),
     "Baseline Boosted Trees": (
@@ -208,6 +211,15 @@ def _estimator(spec: ModelSpec, label: str, weight_sum: float) -> Pipeline:
     )
 
 
+def tree_tasks(n: int) -> int:
+    """Tasks of a job that grows trees on ``n`` rows.
+
+    Each job returns some kilobytes a task to the driver and costs some milliseconds a task,
+    whatever the rows, so the number follows the rows and not the files they lie in.
+    """
+    return max(1, min(FEW_TASKS, -(-n // LEAST_ROWS)), -(-n // MOST_ROWS))
+
+
 def fit_model(train: DataFrame, spec: ModelSpec, label: str = TARGET) -> PipelineModel:
     """Fit one model on all rows given."""
     positive_weight = spec.params.get("positive_weight")
@@ -217,6 +229,8 @@ def fit_model(train: DataFrame, spec: ModelSpec, label: str = TARGET) -> Pipelin
     weight_sum = 1.0
     if spec.family == "logistic":
         weight_sum = weighted.agg(F.sum(WEIGHT)).first()[0]
+    else:
+        weighted = weighted.coalesce(tree_tasks(train.count()))
     return _estimator(spec, label, weight_sum).fit(weighted)
 
 
@@ -246,15 +260,41 @@ def sample_params(
     return [dict(zip(names, values)) for values in drawn]
 
 
+def _scored_folds(folds: DataFrame, models: Sequence[PipelineModel]) -> DataFrame:
+    """Every fold above zero with the scores of its own model."""
+    return union_all(
+        [
+            score_rows(model, folds.filter(F.col("fold") == fold))
+            for fold, model in enumerate(models, 1)
+        ]
+    )
+
+
 def out_of_fold_scores(
     folds: DataFrame, spec: ModelSpec, n_splits: int = 3, label: str = TARGET
 ) -> DataFrame:
     """Score every fold with a model fitted on the folds before it."""
-    parts = []
-    for fold in range(1, n_splits + 1):
-        model = fit_model(folds.filter(F.col("fold") < fold), spec, label)
-        parts.append(score_rows(model, folds.filter(F.col("fold") == fold)))
-    return union_all(parts)
+    before = [folds.filter(F.col("fold") < fold) for fold in range(1, n_splits + 1)]
+    return _scored_folds(folds, [fit_model(rows, spec, label) for rows in before])
+
+
+def fit_with_folds(
+    folds: DataFrame,
+    spec: ModelSpec,
+    n_splits: int = 3,
+    parallelism: int = 4,
+    label: str = TARGET,
+) -> tuple[PipelineModel, DataFrame]:
+    """The model of all rows, and ``out_of_fold_scores``.
+
+    The fits are independent and run ``parallelism`` at a time, the largest first; give a
+    stored frame, as each reads it.
+    """
+    sets = [folds.filter(F.col("fold") < fold) for fold in range(n_splits, 0, -1)]
+    sets = [folds.drop("fold"), *sets]
+    with ThreadPool(max(1, min(parallelism, len(sets)))) as pool:
+        fitted = pool.map(lambda rows: fit_model(rows, spec, label), sets, chunksize=1)
+    return fitted[0], _scored_folds(folds, fitted[:0:-1])
 
 
 def randomised_search(

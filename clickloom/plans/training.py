@@ -14,18 +14,20 @@ from ..operators.train import (
     ModelSpec,
     compare_models,
     fit_calibrator,
-    fit_model,
     fit_models,
-    out_of_fold_scores,
+    fit_with_folds,
 )
 
 
-def refit(rows: DataFrame, spec: ModelSpec, n_splits: int = 3) -> PurchaseScorer:
+def refit(
+    rows: DataFrame, spec: ModelSpec, n_splits: int = 3, parallelism: int = 4
+) -> PurchaseScorer:
     """Fit on train and validation rows, with a calibrator from out-of-fold scores."""
     development = development_set(rows).drop("split")
     folds = materialise(expanding_folds(development, n_splits))
-    slope, intercept = fit_calibrator(out_of_fold_scores(folds, spec, n_splits))
-    return PurchaseScorer(fit_model(development, spec), slope, intercept)
+    model, scored = fit_with_folds(folds, spec, n_splits, parallelism)
+    slope, intercept = fit_calibrator(scored)
+    return PurchaseScorer(model, slope, intercept)
 
 
 def select_model(
@@ -45,4 +47,4 @@ def select_and_refit(
 ) -> tuple[str, PurchaseScorer]:
     """The best candidate (``select_model``) and its scorer; ``rows`` carry ``split``."""
     winner, _ = select_model(rows, candidates, parallelism)
-    return winner, refit(rows, candidates[winner], n_splits)
+    return winner, refit(rows, candidates[winner], n_splits, parallelism)

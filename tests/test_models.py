@@ -244,3 +244,51 @@ def test_search_and_comparison(visits):
 def test_missing_row_is_not_close(spark):
     a = spark.createDataFrame([(1, 0.5), (2, 0.5)], "k long, purchase_probability double")
     assert not score.prediction_difference(a, a.filter("k = 1"), ["k"]).first().all_close
+
+
+def test_tasks_of_tree_fits_follow_the_rows():
+    assert [train.tree_tasks(n) for n in (0, 1, 1 << 17, (1 << 17) + 1)] == [1, 1, 1, 2]
+    assert [train.tree_tasks(n) for n in (1 << 20, 1 << 21, (1 << 21) + 1, 1 << 30)] == [4, 4, 5, 2048]
+
+
+def test_a_boosted_fit_does_not_run_a_task_for_every_file(spark, visits):
+    context = spark.sparkContext
+    context.setJobGroup("boosted", "fit")
+    train.fit_model(visits.repartition(40), train.ModelSpec("boosted", {"maxIter": 4, "maxDepth": 2}))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("boosted")]
+    stages = [tracker.getStageInfo(s) for job in jobs for s in job.stageIds]
+    tasks = [s.numTasks for s in stages if "RandomForest" in s.name]
+    assert tasks and max(tasks) == 1
+
+
+def test_fits_with_folds_equal_separate_fits(visits):
+    spec = train.ModelSpec("boosted", {"maxIter": 3, "maxDepth": 3})
+    folds = split.expanding_folds(visits.filter("snapshot_day < 20")).checkpoint()
+    model, scored = train.fit_with_folds(folds, spec)
+    alone = train.out_of_fold_scores(folds, spec)
+    assert rows(scored, "visitorid", "snapshot_day", "fold", "p") == rows(
+        alone, "visitorid", "snapshot_day", "fold", "p"
+    )
+    whole = train.fit_model(folds.drop("fold"), spec)
+    assert model.stages[-1].toDebugString.split("\n")[1:] == whole.stages[-1].toDebugString.split("\n")[1:]
+
+
+def test_refit_runs_its_fits_at_the_same_time(visits, monkeypatch):
+    import threading
+
+    from clickloom.plans import training
+
+    together = threading.Barrier(4, timeout=120)  # broken if the fits follow each other
+    fit = train.fit_model
+
+    def waiting(frame, spec, label=TARGET):
+        together.wait()
+        return fit(frame, spec, label)
+
+    monkeypatch.setattr(train, "fit_model", waiting)
+    marked = split.chronological_split(visits)
+    scorer = training.refit(marked, train.ModelSpec("logistic"))
+    dev = split.development_set(marked)
+    assert scorer.transform(dev).count() == dev.count()

@@ -879,8 +879,12 @@ def inside(p: str) -> Column:
 
 
 def varies(scored: DataFrame, p: str) -> Column:
-    """1 if rows differ in their score."""
-    return scored.select((F.min(p) < F.max(p)).cast("long")).scalar().alias("varies")
+    """1 if rows differ in their score by more than rounding.
+
+    Trees grown on a single class split on the rounding of their sums.
+    """
+    rounded = F.round(p, 9)
+    return scored.select((F.min(rounded) < F.max(rounded)).cast("long")).scalar().alias("varies")
 
 
 def learns(model, rows: DataFrame) -> int:

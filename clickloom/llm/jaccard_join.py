@@ -327,23 +327,43 @@ def _sizes_near(n: Column, other: Column, threshold: tuple[int, int]) -> Column:
     return den * F.least(n, other) >= num * F.greatest(n, other)
 
 
-def _possible(threshold: tuple[int, int], parity: list[str] = PARITY) -> Column:
-    """Exact filters on two sets, columns of the first with ``a_`` before their names: sizes,
-    and shingles of only one set, of which each changes one bit."""
+def _possible(
+    threshold: tuple[int, int], parity: list[str] = PARITY, one: str = "a_", other: str = ""
+) -> Column:
+    """Exact filters on two sets, whose columns have ``one`` and ``other`` before their names:
+    sizes, and shingles of only one set, of which each changes one bit."""
     num, den = threshold
-    n, other = F.col("n"), F.col("a_n")
-    apart = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(p))) for p in parity), F.lit(0))
+    n, m = F.col(f"{one}n"), F.col(f"{other}n")
+    apart = sum(
+        (F.bit_count(F.col(f"{one}{p}").bitwiseXOR(F.col(f"{other}{p}"))) for p in parity), F.lit(0)
+    )
     # J >= num/den means at most (den - num) / (den + num) of both sizes are not shared.
-    most = (den - num) * (n + other)
+    most = (den - num) * (n + m)
     # Few bits say nothing about large sets: these are compared on more.
-    bits = F.zip_with("a_full", "full", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    bits = F.zip_with(f"{one}full", f"{other}full", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     further = F.aggregate(bits, F.lit(0), lambda s, x: s + x)
     return F.when(
-        _sizes_near(n, other, threshold) & (apart * (den + num) <= most),
+        _sizes_near(n, m, threshold) & (apart * (den + num) <= most),
         F.coalesce(further * (den + num) <= most, F.lit(True)),
     ).otherwise(False)
 
 
+def mixed_pairs(rest: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of sets of different components that share a key and may be linked.
+
+    ``rest`` is joined with itself as it is, without new names on one side, so that both
+    sides read one exchange of it.
+    """
+    apart = (F.col("one.set_id") < F.col("other.set_id")) & (
+        F.col("one.component") != F.col("other.component")
+    )
+    may = _possible(threshold, FOLDED, "one.", "other.")
+    both = rest.alias("one").join(
+        rest.alias("other"), (F.col("one.key") == F.col("other.key")) & apart & may
+    )
+    return both.select(F.col("one.set_id").alias("a"), F.col("other.set_id").alias("b"))
+
+
 def _verified(
     pairs: DataFrame,
     docs: DataFrame,
@@ -416,13 +436,13 @@ def join(
 
     # One exchange by key: the pivots are found in it and joined back to it.
     rank = F.col("ordinary").cast("long") * (1 << 40) + F.col("set_id").bitwiseAND((1 << 40) - 1)
-    filed = sets.select(F.explode("keys").alias("key"), "set_id", "n", rank.alias("rank"))
+    filed = sets.select(F.explode("keys").alias("key"), "set_id", "n", "ordinary")
     filed = filed.repartition("key")
     pivots = (
         filed.groupBy("key")
         .agg(
-            F.max_by("set_id", "rank").alias("pivot"),
-            F.max_by("n", "rank").alias("pivot_n"),
+            F.max_by("set_id", rank).alias("pivot"),
+            F.max_by("n", rank).alias("pivot_n"),
             F.count(F.lit(1)).alias("sets"),
         )
         .filter("sets > 1")
@@ -462,13 +482,7 @@ def join(
         *[F.col(PARITY[k]).bitwiseXOR(F.col(PARITY[k + half])).alias(q) for k, q in enumerate(FOLDED)],
     )
     rest = materialise(labelled.join(mixed, "key", "left_semi").join(small, "set_id"))
-    left = rest.select(*[F.col(c).alias(f"a_{c}") for c in rest.columns])
-    apart = (F.col("a_set_id") < F.col("set_id")) & (F.col("a_component") != F.col("component"))
-    near = (
-        left.join(rest, (F.col("a_key") == F.col("key")) & apart & _possible(threshold, FOLDED))
-        .select(F.col("a_set_id").alias("a"), F.col("set_id").alias("b"))
-        .distinct()
-    )
+    near = mixed_pairs(rest, threshold).distinct()
     second = materialise(_narrowed(near, sets, threshold))
     links = links.union(_verified(second, plain, holders, threshold, width))
     labels = components(links).select(F.col("node").alias("set_id"), "component")

@@ -260,3 +260,36 @@ def test_merging_a_text_with_itself_says_nothing_of_others():
             assert f.merge(f).likeness(g.merge(g)) < 0.1
             assert f.merge(g).likeness(g.merge(f)) == 1.0
     assert own[0].merge(own[1]).likeness(own[2].merge(own[3])) == 0.0
+
+
+def test_mixed_lists_are_dealt_once(shipped, tmp_path):
+    """Both sides of the comparison within lists read one exchange; pairs as by hand."""
+    from pyspark.sql import functions as F
+
+    from clickloom.llm import jaccard_join as jj
+
+    rows = [
+        (key, 10 * key + k, 20 + k % 4, k % 3, None, *[(k % 2) << q for q in range(len(jj.FOLDED))])
+        for key in range(40)
+        for k in range(9)
+    ]
+    schema = "key long, set_id long, n long, component long, full array<long>, "
+    rest = shipped.createDataFrame(rows, schema + ", ".join(f"{q} long" for q in jj.FOLDED))
+    rest.repartition(4).write.parquet(str(tmp_path / "rest"))
+    pairs = jj.mixed_pairs(shipped.read.parquet(str(tmp_path / "rest")), (80, 100))
+    shipped.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = pairs.groupBy().agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
+        got = sorted((r.a, r.b) for r in found.collect()[0].pairs)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        shipped.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    hand = [
+        (x[1], y[1])
+        for x in rows
+        for y in rows
+        if x[0] == y[0] and x[1] < y[1] and x[3] != y[3] and 100 * min(x[2], y[2]) >= 80 * max(x[2], y[2])
+        and 180 * sum(bin(p ^ q).count("1") for p, q in zip(x[5:], y[5:])) <= 20 * (x[2] + y[2])
+    ]
+    assert got == sorted(hand) and got
+    assert "ReusedExchange" in plan

@@ -19,14 +19,22 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_ROWS = 1_000_000
 
 
+#: Bytes of one Arrow batch between Spark and a Python worker. Spark's own limits, 10,000 rows
+#: and 64 MB, let each of its copies of a batch of whole texts take tens of megabytes.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package's modules to the Python workers, once per application.
 
-    Spark serves the archive from the driver, as ``--py-files`` does.
+    Spark serves the archive from the driver, as ``--py-files`` does. Batches to the workers
+    get the limit ``BATCH_BYTES`` in a session that names none.
     """
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

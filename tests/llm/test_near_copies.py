@@ -293,3 +293,19 @@ def test_mixed_lists_are_dealt_once(shipped, tmp_path):
     ]
     assert got == sorted(hand) and got
     assert "ReusedExchange" in plan
+
+
+def test_batches_of_long_texts_stay_small(spark, shipped):
+    import pyarrow as pa
+
+    from pyspark.sql import functions as F
+
+    from clickloom.llm.common import BATCH_BYTES
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    texts = shipped.range(0, 4000, numPartitions=1).select(F.repeat(F.lit("x"), 8000).alias("text"))
+    most = texts.mapInArrow(sizes, "size long").agg(F.max("size")).first()[0]
+    assert most <= BATCH_BYTES + 100_000

@@ -251,3 +251,31 @@ def test_every_length_has_few_pieces():
 def test_empty_table(frame):
     assert packing.pack(frame([]), BYTE, 0).count() == 0
     assert token_file.round_trip(frame([]), WORD, 2).count() == 0
+
+
+@pytest.mark.parametrize("path, keep_space", [(WORD, False), (BYTE, True)])
+def test_words_beside_a_line_feed_are_cached_like_others(path, keep_space, monkeypatch):
+    cached = WordTokenizer(path, keep_space)
+    text = "Of the words.\nWere été here,\nand! so:\nOf"
+    asked = []
+    encode = cached.encode
+    monkeypatch.setattr(cached, "encode", lambda texts: asked.extend(texts) or encode(texts))
+    got = cached.batch([text])
+    assert np.frombuffer(got[0], "<u4").tolist() == plain(path, [text])[0]
+    assert not [x for x in asked if "\n" in x]
+    again = len(cached.young)
+    assert cached.batch([text]) == got and len(cached.young) == again
+    odd = ["a\n\nb", "a\n b", "a.\n\tb", "a b\n", "x \n", "a b\n'll c", "a b.\n...c\nd"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in cached.batch(odd)] == plain(path, odd)
+
+
+def test_a_full_cache_starts_a_new_generation(monkeypatch):
+    monkeypatch.setattr("clickloom.llm.tokens.CACHE_WORDS", 3)
+    monkeypatch.setattr("clickloom.llm.tokens.CACHE_LETTERS", 3)
+    rows = ["a b c d e f g a b", "h. i! j a b c", "a b c d e f g a b"]
+    for path, keep_space in ((WORD, False), (BYTE, True)):
+        cached = WordTokenizer(path, keep_space)
+        for _ in range(2):
+            got = [np.frombuffer(x, "<u4").tolist() for x in cached.batch(rows)]
+            assert got == plain(path, rows)
+        assert len(cached.young) <= 5 and len(cached.letters) <= 5

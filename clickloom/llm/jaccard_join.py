@@ -9,12 +9,14 @@ meetings is least.
 
 The join is asked for connected sets, not for all links, so groups of near copies are not
 expanded. Equal sets are one node. In each list the most ordinary set is the pivot; every
-other is verified against it. Only sets of different components are then compared with each
-other, past two exact filters (sizes, and the parity of hashed shingles), and verified.
+other is verified against it. Of the others, only sets of different components are then
+compared with each other, if the list has one near in size, past two exact filters (sizes, and
+the parity of hashed shingles), and verified.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -40,6 +42,8 @@ LARGE, LARGE_BITS = 1024, 4096
 #: Bits per shingle of the wide parity, which is compared before texts are fetched.
 WIDE = 2
 TEXT_AT_ONCE = 1 << 20
+#: Size classes told apart in a list, and bits of the number that counts the sets of one.
+CLASSES, COUNT_BITS = 10, 6
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 _BYTE[[32, 9, 10, 11, 12, 13]] = 0
 _BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
@@ -327,6 +331,59 @@ def _sizes_near(n: Column, other: Column, threshold: tuple[int, int]) -> Column:
     return den * F.least(n, other) >= num * F.greatest(n, other)
 
 
+def _size_class(n: Column, threshold: tuple[int, int]) -> Column:
+    """Sizes near each other are in one class or in two that follow each other; classes are
+    counted round, so that the last is followed by the first."""
+    width = max(math.log(threshold[1] / threshold[0]), 1e-9) * (1 + 1e-6)  # room for rounding
+    return F.pmod(F.floor(F.ln(n) / width), F.lit(CLASSES)).cast("int")
+
+
+def _has_company(n: Column, profile: Column, threshold: tuple[int, int]) -> Column:
+    """Whether a list whose sets by class are ``profile`` may hold another size near ``n``."""
+
+    def count(step: int) -> Column:
+        place = COUNT_BITS * F.pmod(_size_class(n, threshold) + step, F.lit(CLASSES))
+        shifted = F.call_function("shiftright", profile, place.cast("int"))
+        return shifted.bitwiseAND(F.lit((1 << COUNT_BITS) - 1).cast("long"))
+
+    return (count(0) > 1) | (count(1) > 0) | (count(-1) > 0)
+
+
+def listed(sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """The sets on each list but its pivot: ``key, set_id, n, ordinary, pivot, pivot_n, others``.
+
+    ``others`` is false if no set but the pivot may have a size near this one's; if the pivot's
+    is not near either, the set is linked to none of the list and left out. A list's sets are
+    counted by class in one number; those of lists too long for its bits all have ``others``.
+
+    One exchange by key: the pivots are found in it and joined back to it. For that both need
+    the same columns and rows, so the comparison with the pivot is one that asks for no filter.
+    """
+    rank = F.col("ordinary").cast("long") * (1 << 40) + F.col("set_id").bitwiseAND((1 << 40) - 1)
+    filed = sets.select(F.explode("keys").alias("key"), "set_id", "n", "ordinary")
+    filed = filed.repartition("key")
+
+    def one(n: str) -> Column:
+        place = COUNT_BITS * _size_class(F.col(n), threshold)
+        return F.call_function("shiftleft", F.lit(1).cast("long"), place)
+
+    pivots = (
+        filed.groupBy("key")
+        .agg(
+            F.max_by("set_id", rank).alias("pivot"),
+            F.max_by("n", rank).alias("pivot_n"),
+            F.count(F.lit(1)).alias("sets"),
+            F.try_sum(one("n")).alias("profile"),  # null where it overflows: long lists
+        )
+        .filter("sets > 1")
+    )
+    n, rest = F.col("n"), F.col("profile") - one("pivot_n")
+    others = (F.col("sets") >= 1 << COUNT_BITS) | _has_company(n, rest, threshold)
+    near = _sizes_near(n, F.col("pivot_n"), threshold)
+    both = filed.join(pivots, "key").filter(~F.col("set_id").eqNullSafe(F.col("pivot")))
+    return both.withColumn("others", others).filter(near | F.col("others")).drop("sets", "profile")
+
+
 def _possible(
     threshold: tuple[int, int], parity: list[str] = PARITY, one: str = "a_", other: str = ""
 ) -> Column:
@@ -434,26 +491,11 @@ def join(
     sets = materialise(_second_pass(plain, _levels(passed), edge, threshold, width))
     filters = ["n", "full", *PARITY]
 
-    # One exchange by key: the pivots are found in it and joined back to it.
-    rank = F.col("ordinary").cast("long") * (1 << 40) + F.col("set_id").bitwiseAND((1 << 40) - 1)
-    filed = sets.select(F.explode("keys").alias("key"), "set_id", "n", "ordinary")
-    filed = filed.repartition("key")
-    pivots = (
-        filed.groupBy("key")
-        .agg(
-            F.max_by("set_id", rank).alias("pivot"),
-            F.max_by("n", rank).alias("pivot_n"),
-            F.count(F.lit(1)).alias("sets"),
-        )
-        .filter("sets > 1")
-        .select("key", "pivot", "pivot_n")
-    )
-    lists = materialise(filed.join(pivots, "key"))
+    lists = materialise(listed(sets, threshold))
 
     info = sets.select("set_id", *filters)
     like = _sizes_near(F.col("n"), F.col("pivot_n"), threshold)
-    stars = lists.filter((F.col("set_id") != F.col("pivot")) & like)
-    stars = stars.select("set_id", "pivot").distinct()
+    stars = lists.filter(like).select("set_id", "pivot").distinct()
     one = stars.join(info, "set_id").select(
         F.col("set_id").alias("a"), F.col("pivot"), *[F.col(c).alias(f"a_{c}") for c in filters]
     )
@@ -463,9 +505,11 @@ def join(
     links = materialise(_verified(first, plain, holders, threshold, width))
     labels = components(links)
 
-    # Lists that still hold several components: only sets of different ones are compared.
+    # Lists that still hold several components: only sets of different ones are compared. The
+    # pivots have been compared with all others, so they take no part.
     labelled = (
-        lists.select("key", "set_id", "n")
+        lists.filter("others")
+        .select("key", "set_id", "n")
         .join(labels.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
         .withColumn("component", F.coalesce("component", "set_id"))
     )

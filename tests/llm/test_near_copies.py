@@ -309,3 +309,60 @@ def test_batches_of_long_texts_stay_small(spark, shipped):
     texts = shipped.range(0, 4000, numPartitions=1).select(F.repeat(F.lit("x"), 8000).alias("text"))
     most = texts.mapInArrow(sizes, "size long").agg(F.max("size")).first()[0]
     assert most <= BATCH_BYTES + 100_000
+
+
+def test_lists_leave_out_pivots_and_sets_of_other_sizes(shipped, tmp_path):
+    """Every pair near in size meets at a pivot or in the second comparison, few others do."""
+    from pyspark.sql import functions as F
+
+    from clickloom.llm import jaccard_join as jj
+
+    rows, by_key = [], {}
+
+    def add(key, n, ordinary):
+        rows.append((1000 * len(rows) + key, n, ordinary, [key]))
+        by_key.setdefault(key, []).append(rows[-1][:3])
+
+    for k in range(1, 201):  # just near enough, beside a pivot that is near to neither
+        for n, ordinary in ((9 * k, 1), (10 * k, 2), (100_000, 9)):
+            add(k, n, ordinary)
+    for k, n in enumerate((95, 100, 40, 900, 901, 7, 7000, 20, 20, 260), 300):
+        add(k, 100, 9)  # lists of two
+        add(k, n, 1)
+    for k in range(700):  # long lists, one of a single class, one beyond what a field counts
+        add(500, 3, k)
+        if k < 70:
+            add(501, 1 + k * k, k)
+    add(600, 50, 1)
+    schema = "set_id long, n long, ordinary int, keys array<long>"
+    shipped.createDataFrame(rows, schema).repartition(4).write.parquet(str(tmp_path / "sets"))
+    lists = jj.listed(shipped.read.parquet(str(tmp_path / "sets")), (90, 100))
+    shipped.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        every = lists.groupBy().agg(F.collect_list(F.struct("*")).alias("rows"))
+        got = every.collect()[0].rows
+        plan = every._jdf.queryExecution().executedPlan().toString()
+    finally:
+        shipped.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan
+    found = {(r.key, r.set_id): r for r in got}
+    assert len(found) == len(got)
+
+    def near(n, m):
+        return 100 * min(n, m) >= 90 * max(n, m)
+
+    for key, members in by_key.items():
+        pivot = max(members, key=lambda m: m[2])
+        assert (key, pivot[0]) not in found
+        for name, n, _ in members:
+            row = found.get((key, name))
+            if name == pivot[0] or len(members) == 1:
+                continue
+            if near(n, pivot[1]):
+                assert row.pivot == pivot[0] and row.pivot_n == pivot[1]
+            if any(near(n, m) for other, m, _ in members if other not in (name, pivot[0])):
+                assert row.others
+            if len(members) == 2:  # the pivot is all there is
+                assert row is None if not near(n, pivot[1]) else not row.others
+            if len(members) >= 64:
+                assert row.others

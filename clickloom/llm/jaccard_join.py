@@ -10,8 +10,10 @@ meetings is least.
 The join is asked for connected sets, not for all links, so groups of near copies are not
 expanded. Equal sets are one node. In each list the most ordinary set is the pivot; every
 other is verified against it. Of the others, only sets of different components are then
-compared with each other, if the list has one near in size, past two exact filters (sizes, and
-the parity of hashed shingles), and verified.
+compared with each other, if the list has one near in size, past three exact filters (sizes,
+places of the key, and the parity of hashed shingles), and verified. A key's place bounds what
+two sets share if it is their first in common (its reach: the key and all behind it); linked
+sets pass that at their first common key, so it may be asked of every list.
 """
 
 from __future__ import annotations
@@ -42,8 +44,9 @@ LARGE, LARGE_BITS = 1024, 4096
 #: Bits per shingle of the wide parity, which is compared before texts are fetched.
 WIDE = 2
 TEXT_AT_ONCE = 1 << 20
-#: Size classes told apart in a list, and bits of the number that counts the sets of one.
-CLASSES, COUNT_BITS = 10, 6
+#: Size classes told apart in a list, those of two sizes just near enough, classes counted in
+#: one number, and bits for the sets of one.
+CLASSES, NEAR_CLASSES, IN_ONE, COUNT_BITS = 40, 4, 10, 6
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 _BYTE[[32, 9, 10, 11, 12, 13]] = 0
 _BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
@@ -269,14 +272,14 @@ def _second_pass(
 ) -> DataFrame:
     """One row per distinct set that can have a partner: its keys and its filters."""
     schema = (
-        "set_id long, n long, ordinary int, keys array<long>, wide binary, full array<long>, "
-        + ", ".join(f"{p} long" for p in PARITY)
+        "set_id long, n long, ordinary int, keys array<long>, reach array<long>, wide binary, "
+        "full array<long>, " + ", ".join(f"{p} long" for p in PARITY)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, sets in sets_of(batches, width):
-            ids, sizes, ordinary, keys, parity, wide, full = [], [], [], [], [], [], []
+            ids, sizes, ordinary, keys, reach, parity, wide, full = [], [], [], [], [], [], [], []
             for own in sets:
                 n = len(own)
                 name = set_id(own)
@@ -289,12 +292,14 @@ def _second_pass(
                 level = levels[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 prefix = n - overlap_at_least(n, threshold) + 1
                 front = own[np.lexsort((own, level))[: prefix + 1]]
-                filed = []
+                filed, behind = [], []
                 if n < edge:
                     a, b = np.array(list(combinations(range(len(front)), 2))).T.reshape(2, -1)
                     filed.append(mix64(front[a] * _STEP + front[b]))
+                    behind.append(n + 1 - b)
                 if n >= edge or threshold[1] * n >= threshold[0] * edge:
                     filed.append(front[:prefix])
+                    behind.append(n - np.arange(prefix))
                 size = max(PARITY_BITS, 1 << (WIDE * n - 1).bit_length())
                 spot = (own >> np.uint64(20)) & np.uint64(size - 1)
                 odd = (np.bincount(spot.astype(np.int64), minlength=size) & 1).astype(np.uint8)
@@ -306,9 +311,11 @@ def _second_pass(
                 sizes.append(n)
                 ordinary.append(int(1000 * level.mean()))
                 keys.append(np.concatenate(filed).view(np.int64))
+                reach.append(np.concatenate(behind))
                 parity.append(np.packbits(bits).view("<i8"))
             counts = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            left = np.concatenate(reach) if reach else np.zeros(0, np.int64)
             table = np.array(parity, np.int64).reshape(-1, len(PARITY))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -316,11 +323,12 @@ def _second_pass(
                     pa.array(sizes, pa.int64()),
                     pa.array(ordinary, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(counts), pa.array(flat)),
+                    pa.ListArray.from_arrays(pa.array(counts), pa.array(left, pa.int64())),
                     pa.array(wide, pa.binary()),
                     pa.array(full, pa.list_(pa.int64())),
                 ]
                 + [pa.array(table[:, k]) for k in range(len(PARITY))],
-                names=["set_id", "n", "ordinary", "keys", "wide", "full", *PARITY],
+                names=["set_id", "n", "ordinary", "keys", "reach", "wide", "full", *PARITY],
             )
 
     return docs.select("text").mapInArrow(run, schema).dropDuplicates(["set_id"])
@@ -331,57 +339,111 @@ def _sizes_near(n: Column, other: Column, threshold: tuple[int, int]) -> Column:
     return den * F.least(n, other) >= num * F.greatest(n, other)
 
 
+def _reach_enough(
+    n: Column, reach: Column, other: Column, other_reach: Column, threshold: tuple[int, int]
+) -> Column:
+    """Whether sets that share no more than either reach may be linked."""
+    num, den = threshold
+    return (num + den) * F.least(reach, other_reach) >= num * (n + other)
+
+
 def _size_class(n: Column, threshold: tuple[int, int]) -> Column:
-    """Sizes near each other are in one class or in two that follow each other; classes are
-    counted round, so that the last is followed by the first."""
-    width = max(math.log(threshold[1] / threshold[0]), 1e-9) * (1 + 1e-6)  # room for rounding
-    return F.pmod(F.floor(F.ln(n) / width), F.lit(CLASSES)).cast("int")
+    width = max(math.log(threshold[1] / threshold[0]), 1e-9) / NEAR_CLASSES
+    return F.floor(F.ln(n) / width)
 
 
-def _has_company(n: Column, profile: Column, threshold: tuple[int, int]) -> Column:
-    """Whether a list whose sets by class are ``profile`` may hold another size near ``n``."""
+def _is_early(n: Column, reach: Column, threshold: tuple[int, int]) -> Column:
+    """Whether a key stands early enough in a set of ``n`` for a link to one as large or larger.
 
-    def count(step: int) -> Column:
-        place = COUNT_BITS * F.pmod(_size_class(n, threshold) + step, F.lit(CLASSES))
-        shifted = F.call_function("shiftright", profile, place.cast("int"))
-        return shifted.bitwiseAND(F.lit((1 << COUNT_BITS) - 1).cast("long"))
+    Of two linked sets one is early at their first common key.
+    """
+    return _reach_enough(n, reach, n, reach, threshold)
 
-    return (count(0) > 1) | (count(1) > 0) | (count(-1) > 0)
+
+def _place(size_class: Column, early: Column) -> Column:
+    """Where sets are counted; classes go round, so that the last is followed by the first."""
+    return F.pmod(size_class, F.lit(CLASSES)) + F.when(early, 0).otherwise(CLASSES)
+
+
+def _has_company(
+    n: Column, reach: Column, profile: Column, pivot: Column, threshold: tuple[int, int]
+) -> Column:
+    """Whether a list may hold a set to link with, besides the pivot.
+
+    ``profile`` counts the sets by place, ``pivot`` is the pivot's place.
+    """
+    num, den = threshold
+    own, early = _size_class(n, threshold), _is_early(n, reach, threshold)
+    least = _size_class(n * num / F.lit(den), threshold)
+    most = _size_class((reach * (num + den) - n * num) / F.lit(num), threshold)
+
+    def count(c: Column, kind: Column) -> Column:
+        place = _place(c, kind)
+        number = F.get(profile, F.floor(place / IN_ONE).cast("int"))
+        shift = (COUNT_BITS * (place % IN_ONE)).cast("int")
+        found = F.call_function("shiftright", number, shift)
+        found = found.bitwiseAND(F.lit((1 << COUNT_BITS) - 1).cast("long"))
+        return found - (place == pivot).cast("int")
+
+    def company(c: Column) -> Column:
+        self = (early & (F.pmod(c - own, F.lit(CLASSES)) == 0)).cast("int")
+        # Of sets whose key stands late only larger ones are left, and only for an early one.
+        return (count(c, F.lit(True)) > self) | (early & (c >= own) & (count(c, F.lit(False)) > 0))
+
+    return F.exists(F.sequence(least, F.greatest(least, most)), company)
 
 
 def listed(sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """The sets on each list but its pivot: ``key, set_id, n, ordinary, pivot, pivot_n, others``.
+    """The sets on each list but its pivot:
+    ``key, set_id, n, ordinary, reach, pivot, pivot_n, others``.
 
-    ``others`` is false if no set but the pivot may have a size near this one's; if the pivot's
-    is not near either, the set is linked to none of the list and left out. A list's sets are
-    counted by class in one number; those of lists too long for its bits all have ``others``.
+    ``others`` is false if no set but the pivot may be linked to this one by size and place; if
+    the pivot's size is not near either, the set is left out. A list's sets are counted by class
+    in a few numbers; those of lists too long for their bits all have ``others``. Without
+    ``reach``, sets may share all their shingles from any key on.
 
     One exchange by key: the pivots are found in it and joined back to it. For that both need
     the same columns and rows, so the comparison with the pivot is one that asks for no filter.
     """
     rank = F.col("ordinary").cast("long") * (1 << 40) + F.col("set_id").bitwiseAND((1 << 40) - 1)
-    filed = sets.select(F.explode("keys").alias("key"), "set_id", "n", "ordinary")
-    filed = filed.repartition("key")
+    places = F.col("reach") if "reach" in sets.columns else F.transform("keys", lambda _: F.col("n"))
+    both = F.arrays_zip(F.col("keys").alias("key"), places.alias("reach"))
+    filed = sets.select("set_id", "n", "ordinary", F.explode(both).alias("at"))
+    filed = filed.select("set_id", "n", "ordinary", "at.key", "at.reach").repartition("key")
 
-    def one(n: str) -> Column:
-        place = COUNT_BITS * _size_class(F.col(n), threshold)
-        return F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    def place(n: str, reach: str) -> Column:
+        n, reach = F.col(n), F.col(reach)
+        return _place(_size_class(n, threshold), _is_early(n, reach, threshold))
+
+    def counted(number: int) -> Column:
+        at = place("n", "reach")
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), (COUNT_BITS * (at % IN_ONE)).cast("int"))
+        return F.try_sum(F.when(F.floor(at / IN_ONE) == number, one).otherwise(0))
 
     pivots = (
         filed.groupBy("key")
         .agg(
             F.max_by("set_id", rank).alias("pivot"),
             F.max_by("n", rank).alias("pivot_n"),
+            F.max_by("reach", rank).alias("pivot_reach"),
             F.count(F.lit(1)).alias("sets"),
-            F.try_sum(one("n")).alias("profile"),  # null where it overflows: long lists
+            *[counted(k).alias(f"count{k}") for k in range(2 * CLASSES // IN_ONE)],
         )
         .filter("sets > 1")
+        .select(
+            "key", "pivot", "pivot_n", "pivot_reach", "sets",
+            F.array(*[f"count{k}" for k in range(2 * CLASSES // IN_ONE)]).alias("profile"),
+        )
+    )
+    n = F.col("n")
+    company = _has_company(
+        n, F.col("reach"), F.col("profile"), place("pivot_n", "pivot_reach"), threshold
     )
-    n, rest = F.col("n"), F.col("profile") - one("pivot_n")
-    others = (F.col("sets") >= 1 << COUNT_BITS) | _has_company(n, rest, threshold)
+    others = (F.col("sets") >= 1 << COUNT_BITS) | company
     near = _sizes_near(n, F.col("pivot_n"), threshold)
     both = filed.join(pivots, "key").filter(~F.col("set_id").eqNullSafe(F.col("pivot")))
-    return both.withColumn("others", others).filter(near | F.col("others")).drop("sets", "profile")
+    kept = both.withColumn("others", others).filter(near | F.col("others"))
+    return kept.drop("sets", "profile", "pivot_reach")
 
 
 def _possible(
@@ -409,12 +471,15 @@ def mixed_pairs(rest: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Pairs (a, b) of sets of different components that share a key and may be linked.
 
     ``rest`` is joined with itself as it is, without new names on one side, so that both
-    sides read one exchange of it.
+    sides read one exchange of it. Without ``reach``, only sizes and parities are compared.
     """
     apart = (F.col("one.set_id") < F.col("other.set_id")) & (
         F.col("one.component") != F.col("other.component")
     )
     may = _possible(threshold, FOLDED, "one.", "other.")
+    if "reach" in rest.columns:
+        names = [f"{side}.{c}" for side in ("one", "other") for c in ("n", "reach")]
+        may = _reach_enough(*[F.col(c) for c in names], threshold) & may
     both = rest.alias("one").join(
         rest.alias("other"), (F.col("one.key") == F.col("other.key")) & apart & may
     )
@@ -509,7 +574,7 @@ def join(
     # pivots have been compared with all others, so they take no part.
     labelled = (
         lists.filter("others")
-        .select("key", "set_id", "n")
+        .select("key", "set_id", "n", "reach")
         .join(labels.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
         .withColumn("component", F.coalesce("component", "set_id"))
     )

@@ -366,3 +366,79 @@ def test_lists_leave_out_pivots_and_sets_of_other_sizes(shipped, tmp_path):
                 assert row is None if not near(n, pivot[1]) else not row.others
             if len(members) >= 64:
                 assert row.others
+
+
+def test_lists_leave_out_sets_whose_keys_stand_too_late(shipped, tmp_path):
+    """Every pair that its key's places allow is on a list and compared; most others are not."""
+    from pyspark.sql import functions as F
+
+    from clickloom.llm import jaccard_join as jj
+
+    rng, rows, by_key = random.Random(5), [], {}
+    for key in range(1500):
+        base = rng.choice([1, 9, 10, 30, 200, 5000])
+        for k in range(rng.choice([2, 3, 3, 4, 5, 30])):
+            n = base + rng.randrange(base // 6 + 1)
+            reach = n - rng.randrange(n // 10 + 1)
+            rows.append((10_000 * len(rows) + key, n, int(k == 0), [key], [reach]))
+            by_key.setdefault(key, []).append((rows[-1][0], n, reach))
+    schema = "set_id long, n long, ordinary int, keys array<long>, reach array<long>"
+    shipped.createDataFrame(rows, schema).repartition(4).write.parquet(str(tmp_path / "sets"))
+    lists = jj.listed(shipped.read.parquet(str(tmp_path / "sets")), (90, 100))
+    lists.write.parquet(str(tmp_path / "lists"))
+    found = {r.set_id: r for r in shipped.read.parquet(str(tmp_path / "lists")).collect()}
+
+    def meet(a, b):
+        return 190 * min(a[2], b[2]) >= 90 * (a[1] + b[1])
+
+    pairs, spared, dropped = set(), 0, 0
+    for members in by_key.values():
+        pivot, *rest = members
+        assert pivot[0] not in found
+        for a in rest:
+            if 100 * min(a[1], pivot[1]) >= 90 * max(a[1], pivot[1]):
+                assert found[a[0]].pivot == pivot[0]
+            near = [b for b in rest if b != a and 100 * min(a[1], b[1]) >= 90 * max(a[1], b[1])]
+            pairs |= {(min(a, b)[0], max(a, b)[0]) for b in near if meet(a, b)}
+            if any(meet(a, b) for b in near):
+                assert found[a[0]].others
+            elif near:
+                spared += 1
+                dropped += a[0] not in found or not found[a[0]].others
+    assert dropped > 0.7 * spared > 100
+
+    rest = shipped.read.parquet(str(tmp_path / "lists")).filter("others").withColumn("component", F.col("set_id"))
+    rest = rest.withColumn("full", F.lit(None).cast("array<long>"))
+    rest = rest.withColumns({q: F.lit(0).cast("long") for q in jj.FOLDED})
+    got = [(r.a, r.b) for r in jj.mixed_pairs(rest, (90, 100)).collect()]
+    assert len(got) == len(set(got)) and set(got) == pairs
+
+
+def test_reach_is_what_two_sets_can_share(frame):
+    """Filed places, for both kinds of keys: the first key in common bounds what is shared."""
+    import numpy as np
+
+    from clickloom.llm import jaccard_join as jj
+
+    rows = [(d, t) for d, t in near_copies(6) if len(shingles(t)) > 9][:120]
+    docs, sets = frame(rows), {}
+    for edge in (1, 10**6):
+        filed = jj._second_pass(docs, np.zeros(jj.COUNTERS, np.uint8), edge, (90, 100), 3).collect()
+        for r in filed:
+            assert len(r["keys"]) == len(r["reach"]) and max(r["reach"]) == r["n"]
+        sets[edge] = {r["set_id"]: dict(zip(r["keys"], r["reach"])) | {None: r["n"]} for r in filed}
+    own = {}
+    for (_, text), name in zip(rows, [jj.set_id(x) for _, t in rows for x in jj.shingle_sets(
+        np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))]):
+        own[int(np.uint64(name).view(np.int64))] = shingles(text)
+    linked = 0
+    for filed in sets.values():
+        names = sorted(filed)
+        for a in names:
+            for b in names:
+                both = len(own[a] & own[b])
+                if a < b and 190 * both >= 90 * (len(own[a]) + len(own[b])):
+                    linked += 1
+                    keys = (filed[a].keys() & filed[b].keys()) - {None}
+                    assert any(min(filed[a][k], filed[b][k]) >= both for k in keys)
+    assert linked > 50
